@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, warc
+from . import bpe, gif, minhash, sharding, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_warc": warc.op3_warc, "op4_sharding": sharding.op4_sharding}
+    return {
+        "op3_warc": warc.op3_warc,
+        "op4_sharding": sharding.op4_sharding,
+        "op7_bpe": bpe.op7_bpe,
+        "op8_minhash": minhash.op8_minhash,
+        "op9_gif": gif.op9_gif,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
