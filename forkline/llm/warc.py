@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,7 +72,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
     the response. Headers alone are shuffled by digest; the smallest id per digest is pre-aggregated, so a
     payload that a third of the pages share is no hot group, and only digests that occur more than once
     join back. Rows that repeat the smallest id are all responses; a null id loses against any other; a null
-    html is empty. The text sink ends each record with CRLF CRLF, which is the format's own end.
+    html is empty. The text sink ends each record with CRLF CRLF, which is the format's own end; files are compressed.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc-heads")
@@ -86,7 +87,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
     keyed = lambda df: df.withColumns({"k0": F.coalesce("page_id", F.lit(-(2**63))), "k1": F.col("digest"), "k2": F.col("bytes")})
     found = keyed(revisits).select(*keys, "first").repartition(files, *keys)
     rows = keyed(rows).repartition(files, *keys).join(found, keys, "left")
-    rows.select(record_text().alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+    rows.select(record_text().alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
 def record_text():
@@ -117,7 +118,7 @@ def _reader(payloads: bool):
         def f(batch):
             out: dict[str, list] = {x: [] for x in RECORD.names}
             for data in batch.column(0):
-                for r in parse(data.as_py()):
+                for r in parse(gzip.decompress(data.as_py())):
                     head, body = r["head"], r["payload"]
                     refers, page = head.get("WARC-Refers-To"), head.get("X-Page-ID")
                     revisit = head["WARC-Type"] == "revisit"
