@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gif, minhash, sharding, warc
+from . import bpe, gif, minhash, pii, sharding, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_warc": warc.op3_warc,
         "op4_sharding": sharding.op4_sharding,
+        "op5_pii": pii.op5_pii,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_bpe": bpe.op7_bpe,
         "op8_minhash": minhash.op8_minhash,
         "op9_gif": gif.op9_gif,
