@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gif, minhash, pii, sharding, toxicity, warc
+from . import bpe, gif, minhash, pii, sharding, substring, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring": substring.op1_substring,
         "op3_warc": warc.op3_warc,
         "op4_sharding": sharding.op4_sharding,
         "op5_pii": pii.op5_pii,
