@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, gif, minhash, pii, sharding, substring, toxicity, warc
+from . import bpe, decontaminate, gif, lm, minhash, pii, sharding, substring, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring": substring.op1_substring,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op2_lm": lm.op2_lm,
         "op3_warc": warc.op3_warc,
         "op4_sharding": sharding.op4_sharding,
         "op5_pii": pii.op5_pii,
