@@ -274,7 +274,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     pairs = scratch.save(entries.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_forest_pairs, PAIR).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = scratch.save(source.join(wanted, "doc_id", "left_semi"), "texts")
+    # The same plan at every size: candidates grow with the input, so they are never broadcast.
+    texts = scratch.save(source.join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     confirmed = flat_map(both.select("a", "b", "text_a", "text_b"), PAIR, _confirm)
