@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 LONG_MAX = 2**63 - 1
 #: Bits of a backfilled event's number that its place in the block takes.
 STRIDE_BITS = 20
-#: Order in which kinds are processed first: metadata of slots and blocks before what they hold (fixed values).
-KIND_PRIORITY = {"SlotUpdate": 0, "BlockMeta": 1, "Transaction": 2, "AccountUpdate": 3, "Entry": 4}
+#: Order in which kinds are processed, the chain's own first (fixed values).
+KIND_PRIORITY = {"SlotUpdate": 0, "BlockMeta": 1, "Entry": 2, "Transaction": 3, "AccountUpdate": 4}
 #: Errors by what follows from them (fixed values).
 CATEGORY_OF = {"InvalidMessage": "malformed", "EventParse": "malformed", "EventValidation": "validation", "DatabaseQuery": "persistence", "DatabaseConnection": "persistence", "Serialization": "unknown"}
 RETRYABLE = ("GrpcConnection", "StreamEnded", "DatabaseConnection", "ProcessingTimeout", "ChannelFull")

@@ -48,7 +48,7 @@ def slot_runs(events: DataFrame) -> DataFrame:
     A column `status`, where there is one, is passed on; live sources have none, and all slots are Processing.
 
     Runs are found inside buckets of the arrival order; a run that crosses a bucket's end gives a second row, which
-    the tracker takes as the duplicate it is.
+    track() passes over.
     """
     seen = events.where(F.col("parent_slot").isNotNull() & (F.col("origin") != "backfill"))
     status = F.col("status") if "status" in events.columns else F.lit("Processing")
@@ -67,14 +67,20 @@ def track(runs: DataFrame, max_slots: int = MAX_SLOTS, max_depth: int = MAX_DEPT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tracker = ChainTracker.load(state, max_slots=max_slots, max_depth=max_depth, legacy_depth=legacy_depth)
+        before = None
         for batch in batches:
-            rows = []
-            for slot, parent, status in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4)), strict=True):
-                d = tracker.observe(slot, parent, status=status)
+            rows, new = [], []
+            for k, here in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2, 4)), strict=True)):
+                if here == before:  # a run that goes on in the next bucket
+                    continue
+                before = here
+                new.append(k)
+                d = tracker.observe(here[0], here[1], status=here[2])
                 rows.append((d.outcome, d.head_before, d.head_after, d.divergence, d.is_bound, d.orphaned, d.restored, len(tracker.known), tracker.pruned, len(tracker.canonical), None))
             if rows:
                 made = [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), list(arrow)[4:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], names=arrow.names)
+                kept = batch.take(pa.array(new))
+                yield pa.RecordBatch.from_arrays([*kept.columns[:4], *made], names=arrow.names)
         if with_state:
             end = {"outcome": STATE, "tracker": tracker.dump()}
             yield pa.RecordBatch.from_arrays([pa.array([end.get(f.name)], f.type) for f in arrow], names=arrow.names)

@@ -55,9 +55,9 @@ def json_run(spark: SparkSession, sf_dir: str) -> engine.Indexed:
 
 
 def readopted(spark: SparkSession, sf_dir: str) -> engine.Indexed:
-    """The stream with a short-lived branch at each 45th slot of 50: it orphans two slots, and the next slot brings them back."""
+    """The stream with a short-lived branch at each 25th slot of 50: it orphans two slots, and the next slot brings them back."""
     at = F.col("slot") % 50
-    parent = F.when(at == 45, F.col("slot") - 3).when(at == 46, F.col("slot") - 2).otherwise(F.col("parent_slot"))
+    parent = F.when(at == 25, F.col("slot") - 3).when(at == 26, F.col("slot") - 2).otherwise(F.col("parent_slot"))
     return engine.index(derived.stream(spark, sf_dir).withColumn("parent_slot", parent))
 
 
@@ -374,7 +374,7 @@ def chain_stats(spark, sf_dir):
     """The tracker's counters: divergences include gap joins."""
     d = engine.index(derived.stream(spark, sf_dir).where("slot % 50 != 11")).decisions
     moved = F.col("outcome").isin("reorg", "gap_join")
-    return d.agg(F.count_if(moved).alias("divergences"), F.sum(F.when(moved, F.size("orphaned")).otherwise(0)).alias("slots_orphaned"), F.max(F.when(moved, F.size("orphaned"))).alias("max_depth"), F.max_by("canonical_len", "arrival").alias("canonical_len"), F.max_by("slots_pruned", "arrival").alias("slots_pruned"))
+    return d.agg(F.count_if(moved).alias("divergences"), F.sum(F.when(moved, F.size("orphaned")).otherwise(0)).alias("slots_orphaned"), F.max(F.when(moved, F.size("orphaned"))).alias("max_depth"))
 
 
 @query
