@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .boosting import sigmoid
-from .common import add_columns, remainder
+from .common import Scratch, add_columns, flat_map, remainder
 
 #: Labelled rows that the classifier is fitted on at most, of each label.
 SAMPLE = 3000
@@ -158,75 +158,119 @@ class Model:
         return score
 
 
-def rank_features(texts: list[str], labels: np.ndarray) -> list[str]:
-    """Features by how strongly they go with label 1 beyond chance, best first; KEPT at most."""
-    repeated: list[set[str]] = []
-    for t in texts:
-        c: Counter = Counter()
-        for w, n in Counter(t.split()).items():
-            for k in keys_of(w):
-                c[k] += n
-        repeated.append({*c, *(k + "\0" for k, n in c.items() if n >= 3)})
-    counts = [Counter(), Counter()]
-    for keys, y in zip(repeated, labels, strict=True):
-        counts[int(y)].update(keys)
-    n0, n1 = max(1, int((labels == 0).sum())), max(1, int((labels == 1).sum()))
-    score: dict[str, float] = {}
-    for k, a in counts[1].items():
-        if a < 4:
-            continue
-        p1, p0 = (a + 0.5) / (n1 + 1), (counts[0][k] + 0.5) / (n0 + 1)
-        z = (p1 - p0) / np.sqrt(p1 * (1 - min(p1, 0.999)) / n1 + p0 * (1 - min(p0, 0.999)) / n0)
-        key = k.rstrip("\0")
-        score[key] = max(score.get(key, 0.0), z * np.log(p1 / p0) if p1 > p0 else 0.0)
-    return [k for k, s in sorted(score.items(), key=lambda x: (-x[1], x[0])) if s > 0][:KEPT]
-
-
-def fit(texts: list[str | None], labels: list[int], steps: int = 400) -> Model:
-    """Rank features, let the voters vote, fit the label model, and fit the classifier to its posteriors (logistic loss, L2)."""
-    texts, y = [t or "" for t in texts], np.array(labels, float)
-    if not len(y) or y.min() == y.max():  # nothing to tell apart: the seed lexicon alone
+KEYED = T.StructType([T.StructField("key", T.StringType()), *(T.StructField(f"n{y}", T.LongType()) for y in (0, 1))])
+VOTED = T.StructType(
+    [
+        T.StructField("label", T.IntegerType()),
+        T.StructField("n_words", T.LongType()),
+        T.StructField("at", T.ArrayType(T.IntegerType())),
+        T.StructField("n", T.ArrayType(T.IntegerType())),
+        T.StructField("votes", T.ArrayType(T.IntegerType())),
+    ]
+)
+#: Marks a feature that a text has at least REPEATED times.
+OFTEN, REPEATED = "\0", 3
+
+
+def _keys():
+    def f(batch) -> dict:
+        both: list[Counter] = [Counter(), Counter()]
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            c: Counter = Counter()
+            for w, n in Counter((text or "").split()).items():
+                for k in keys_of(w):
+                    c[k] += n
+            both[label].update(c.keys())
+            both[label].update(k + OFTEN for k, n in c.items() if n >= REPEATED)
+        keys = list(both[0] | both[1])
+        return {"key": keys, "n0": [both[0][k] for k in keys], "n1": [both[1][k] for k in keys]}
+
+    return f
+
+
+def rank_features(sample: DataFrame, n0: int, n1: int) -> list[str]:
+    """Features by how strongly they go with label 1 beyond chance, best first, KEPT at most; counted by the executors.
+
+    A feature counts by the texts that have it, or that have it often, whichever tells more.
+    """
+    counts = flat_map(sample, KEYED, _keys).groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n1 >= 4")
+    p1, p0 = (F.col("n1") + 0.5) / (n1 + 1), (F.col("n0") + 0.5) / (n0 + 1)
+    spread = lambda p, n: p * (1 - F.least(p, F.lit(0.999))) / n
+    z = (p1 - p0) / F.sqrt(spread(p1, n1) + spread(p0, n0))
+    scored = counts.where(p1 > p0).select(F.regexp_replace("key", OFTEN, "").alias("key"), (z * F.log(p1 / p0)).alias("score"))
+    best = scored.groupBy("key").agg(F.max("score").alias("score")).orderBy(F.desc("score"), "key").limit(KEPT)
+    return [r[0] for r in best.collect()]
+
+
+def _votes(index: dict[str, int], ranked: list[str]):
+    def make():
+        vocabulary, voters = Vocabulary(index), voters_of(index, ranked)
+
+        def f(batch) -> dict:
+            out: dict[str, list] = {x: [] for x in VOTED.names}
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts, n = counted(text, vocabulary)
+                row = (label, n, list(counts.keys()), list(counts.values()), [v.vote(counts, text or "") for v in voters])
+                for name, value in zip(VOTED.names, row, strict=True):
+                    out[name].append(value)
+            return out
+
+        return f
+
+    return make
+
+
+def fit(sample: DataFrame) -> Model:
+    """Fit on a bounded sample (label, text): rank features, let the voters vote, fit the label model, and fit the classifier to its posteriors."""
+    n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    if not n.get(0) or not n.get(1):  # nothing to tell apart: the seed lexicon alone
         index = {k: i for i, k in enumerate(sorted(INSULTS))}
         return Model(index, np.full(len(index), 3.0), -2.0)
-    ranked = rank_features(texts, y)
+    ranked = rank_features(sample, n[0], n[1])
     index = {k: i for i, k in enumerate(dict.fromkeys([*ranked, *sorted(INSULTS)]))}
-    vocabulary = Vocabulary(index)
-    docs = [counted(t, vocabulary) for t in texts]
-    voters = voters_of(index, ranked)
-    votes = np.array([[v.vote(c, t) for v in voters] for (c, _), t in zip(docs, texts, strict=True)])
+    rows = sorted(flat_map(sample, VOTED, _votes(index, ranked)).collect())
+    y = np.array([r["label"] for r in rows], float)
+    votes = np.array([r["votes"] for r in rows], np.int64)
     label_model = LabelModel().fit(votes, y.astype(int))
     target = sigmoid(label_model.evidence(votes) + np.where(y == 1, 3.0, -3.0))
-    x = np.zeros((len(docs), len(index)), np.float32)
-    for r, d in enumerate(docs):
-        i, v = values_of(*d)
-        x[r, i] = v
-    w, b = np.zeros(len(index)), float(np.log(target.mean() / (1 - target.mean())))
-    squares, square_b = np.full(len(index), 1e-6), 1e-6
+    x = np.zeros((len(rows), len(index)), np.float32)
+    for k, r in enumerate(rows):
+        i, v = values_of(Counter(dict(zip(r["at"], r["n"], strict=True))), r["n_words"])
+        x[k, i] = v
+    w, b = train_linear(x, target.astype(np.float32))
+    return Model(index, w.astype(np.float64), b, label_model)
+
+
+def train_linear(x: np.ndarray, target: np.ndarray, steps: int = 400, l2: float = 2e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, by Adagrad over all rows."""
+    w, b = np.zeros(x.shape[1], np.float32), float(np.log(target.mean() / (1 - target.mean())))
+    squares, square_b = np.full(x.shape[1], 1e-6, np.float32), 1e-6
     for _ in range(steps):
-        e = sigmoid(x @ w + b) - target
-        g, gb = x.T @ e / len(e) + 2e-4 * w, e.mean()
+        e = sigmoid(x @ w + np.float32(b)) - target
+        g, gb = (e @ x) / len(e) + l2 * w, float(e.mean())
         squares += g * g
         square_b += gb * gb
         w -= 0.3 * g / np.sqrt(squares)
         b -= 0.3 * gb / np.sqrt(square_b)
-    return Model(index, w.astype(np.float64), float(b), label_model)
+    return w, b
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` labelled rows of each label, chosen by a hash of the id among rows that aren't held out.
 
-    Ids of the sample (bounded by 2 * sample) are broadcast. Null labels and ids aren't used; an id that is labelled
-    twice has its larger label, and one text of its rows.
+    Ids of the sample (bounded by 2 * sample) are broadcast; its texts stay with the executors. Null labels and ids aren't used; an
+    id that is labelled twice has its larger label, and one text of its rows.
     """
+    spark = docs.sparkSession
     usable = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & (remainder(id_col, HELD_OUT_MOD) != 0))
-    each = usable.groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("__toxic"))
-    ids = [r for y in (1, 0) for r in each.where(F.col("__toxic") == y).orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()]
-    if not ids:
-        return fit([], [])
-    chosen = docs.sparkSession.createDataFrame([(int(r[0]), int(r[1])) for r in ids], "__id long, __toxic int")
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id").groupBy("__id", "__toxic").agg(F.min("__text").alias("__text"))
-    got = sorted(rows.collect(), key=lambda r: r[0])
-    return fit([r["__text"] for r in got], [r["__toxic"] for r in got])
+    each = usable.groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("label"))
+    ids = [(int(r[0]), int(r[1])) for y in (1, 0) for r in each.where(F.col("label") == y).orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()]
+    scratch = Scratch(spark, "toxicity")
+    chosen = spark.createDataFrame(ids, "__id long, label int")
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id").groupBy("__id", "label").agg(F.min("text").alias("text"))
+    model = fit(scratch.save(rows.select("label", "text"), "sample"))
+    scratch.drop("sample")
+    return model
 
 
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
