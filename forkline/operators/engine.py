@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import event_hash
+from ..session import checkpointed
 from . import chain, dlq, fold, sequence
 from .prefix import WIDTH
 from .tracker import MAX_DEPTH, MAX_SLOTS
@@ -56,20 +57,20 @@ class Indexed:
 
 
 def index(
-    raw: DataFrame, *, check_json: bool = False, last_seen: int | None = None, first_seq: int = 1, max_slots: int = MAX_SLOTS, max_depth: int = MAX_DEPTH, legacy: bool = False, json_columns: bool = False, state: str | None = None, width: int = WIDTH, keep: Callable[[DataFrame, str], DataFrame] | None = None
+    raw: DataFrame, *, check_json: bool = False, last_seen: int | None = None, first_seq: int = 1, max_slots: int = MAX_SLOTS, max_depth: int = MAX_DEPTH, legacy: bool = False, json_columns: bool = False, state: str | None = None, width: int = WIDTH, keep: Callable[[DataFrame, str], DataFrame] | None = None, with_state: bool = False
 ) -> Indexed:
     """Run raw events through the pipeline.
 
     check_json sends payloads that aren't one JSON document to `bad` before fork detection, so a slot of such events alone is never seen.
-    keep(df, name) may store the accepted rows, the good ones and the decisions, which several logs are made from; the decisions then
-    hold the tracker's last state. legacy repeats two known defects: a restore brings back every row of a slot, and a too deep rollback is refused after the tracker switched.
+    keep(df, name) may store the accepted rows, the good ones and the decisions, which several logs are made from; without it, decisions
+    are checkpointed, so that the tracker runs once. with_state adds the tracker's last state to the decisions. legacy repeats two known defects: a restore brings back every row of a slot, and a too deep rollback is refused after the tracker switched.
     """
-    stored = keep or (lambda df, name: df)
+    stored = keep or (lambda df, name: checkpointed(df) if name == "decisions" else df)
     accepted = stored(sequence.accept(raw, last_seen, width), "accepted")
     good, bad = dlq.split(accepted) if check_json else (accepted, None)
     if check_json:
         good = stored(good, "good")
-    decisions = stored(chain.track(chain.slot_runs(good), max_slots, max_depth, legacy, state, with_state=keep is not None), "decisions")
+    decisions = stored(chain.track(chain.slot_runs(good), max_slots, max_depth, legacy, state, with_state=with_state), "decisions")
     # Refused slots write no events: all of theirs when the chain stayed as it was, the first alone when it had switched.
     refused = decisions.where(F.col("outcome").isin("rooted_refusal", "depth_refusal"))
     cut = ["arrival"] if legacy else ["slot", "parent_slot"]

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "forkline", master: str | None = None, **conf: str) -> SparkSession:
@@ -25,3 +29,28 @@ def build_session(app: str = "forkline", master: str | None = None, **conf: str)
 def ready(spark: SparkSession) -> bool:
     """Whether the session answers a trivial query."""
     return spark.sql("select 1 as one").first()["one"] == 1
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the folder that executors share (spark.checkpoint.dir) and without its lineage.
+
+    Where the session names no folder, as in tests, a temporary one is set.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="forkline-"))
+    return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each context, so that their workers can import it from any folder."""
+    context = spark.sparkContext
+    if getattr(context, "_forkline_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="forkline-")) / "forkline.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, f"{root.name}/{file.relative_to(root)}")
+    context.addPyFile(str(target))
+    context._forkline_shipped = True

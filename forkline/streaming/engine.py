@@ -27,7 +27,7 @@ def ingest(store: Store, raw: DataFrame, batch: int | None = None, extra_dlq: Da
     start = before["next_arrival"]
     ordered = numbered(raw.select(*RAW.names), "arrival", "__n", start).withColumn("arrival", F.col("__n")).drop("__n")
     ordered = store.write(ordered, "_work_raw", commit)
-    run = engine.index(ordered, check_json=True, last_seen=before["last_seen"], first_seq=before["next_seq"], max_slots=max_slots, max_depth=max_depth, state=before["tracker"], keep=lambda df, name: store.write(df, f"_work_{name}", commit))
+    run = engine.index(ordered, check_json=True, last_seen=before["last_seen"], first_seq=before["next_seq"], max_slots=max_slots, max_depth=max_depth, state=before["tracker"], keep=lambda df, name: store.write(df, f"_work_{name}", commit), with_state=True)
     cast = lambda df, schema: df.select(*(F.col(f.name).cast(f.dataType) for f in schema))
     events = store.write(cast(run.event_log, EVENT_LOG), "event_log", commit)
     store.write(cast(run.slot_log, SLOT_LOG), "slot_log", commit)
