@@ -168,7 +168,7 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
         "gap_joins": q("SELECT slot, parent_slot, parent_slot AS divergence, true AS is_bound FROM sl WHERE slot % 50 = 12"),
         "late_slots": q("SELECT slot, source_seq, true AS is_valid FROM ev WHERE slot BETWEEN 5 AND 15"),
         "rooted_refusals": q(f"SELECT slot, parent_slot, {_text('list_reverse(range(parent_slot + 1, slot))')} AS orphaned FROM forks WHERE depth >= 3"),
-        "depth_refusals": q("SELECT slot, parent_slot, CAST(depth AS INTEGER) AS depth, 0 AS written FROM forks WHERE depth > 3"),
+        "depth_refusals": q("SELECT slot, parent_slot, CAST(depth AS INTEGER) AS depth, CAST(0 AS BIGINT) AS written FROM forks WHERE depth > 3"),
         "canonical_replay": q("SELECT slot, source_seq, kind FROM cur WHERE is_valid"),
         "chain_stats": q("SELECT count(*) AS divergences, CAST(coalesce(sum(depth), 0) AS BIGINT) AS slots_orphaned, CAST(max(depth) AS INTEGER) AS max_depth FROM (SELECT depth FROM forks UNION ALL SELECT 0 FROM sl WHERE slot % 50 = 12)"),
         "processor_stats": q(
@@ -179,7 +179,7 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
         "events_per_kind": q("SELECT kind, count(*) AS events FROM ev GROUP BY kind"),
         "pipeline_end_state": q("SELECT kind, is_valid, count(*) AS rows, CAST(sum(seq) AS BIGINT) AS seqs, CAST(sum(slot) AS BIGINT) AS slots FROM cur GROUP BY 1, 2"),
         # checks
-        "check_duplicates": q("SELECT slot, source_seq, 2 AS n FROM ev WHERE source_seq % 250 = 0"),
+        "check_duplicates": q("SELECT slot, source_seq, CAST(2 AS BIGINT) AS n FROM ev WHERE source_seq % 250 = 0"),
         "check_missing_slots": q("SELECT slot FROM expected e WHERE NOT EXISTS (SELECT 1 FROM cur WHERE is_valid AND cur.slot = e.slot)", _EXPECTED),
         "check_extra_slots": q(f"SELECT slot FROM sl WHERE slot <= {P['series_end'] + 20} AND slot NOT IN (SELECT slot FROM lost) AND slot NOT IN (SELECT slot FROM expected)", _EXPECTED),
         # sequences
