@@ -54,29 +54,27 @@ def lzw_encode(data: bytes, bits: int = 8) -> bytes:
     clear, end = 1 << bits, (1 << bits) + 1
     first, room = clear + 2, MAX_CODES - 1
     segments: list[list[int]] = []
-    at, n = 0, len(data)
-    while at < n:
+    rest = iter(data)
+    prefix = next(rest, None)
+    while prefix is not None:
         table: dict[int, int] = {}
         codes: list[int] = []
-        prefix, free = data[at], first
-        at += 1
-        look = table.get
-        while at < n:
-            b = data[at]
+        put, look, free = codes.append, table.get, first
+        for b in rest:
             key = prefix << 8 | b
             code = look(key)
-            at += 1
             if code is None:
-                codes.append(prefix)
-                prefix = b
+                put(prefix)
                 table[key] = free
                 free += 1
+                prefix = b
                 if free == room:
                     break
             else:
                 prefix = code
-        codes.append(prefix)
+        put(prefix)
         segments.append(codes)
+        prefix = next(rest, None)
     all_codes, all_widths = [], []
     width_before = bits + 1
     for codes in segments:
@@ -92,47 +90,63 @@ def lzw_encode(data: bytes, bits: int = 8) -> bytes:
     return _pack(np.concatenate(all_codes), np.concatenate(all_widths))
 
 
+def _strings(codes: np.ndarray, clear: int) -> np.ndarray:
+    """Samples of the codes between two clear codes.
+
+    The string of a table entry is that of the code before it and one sample more, so it stands in the output already: an entry made
+    after code m begins where code m's string begins. Lengths and samples follow their references by pointer doubling.
+    """
+    n = len(codes)
+    made_after = codes - (clear + 2)  # the code whose string an entry repeats
+    refers = codes >= clear
+    wrong = refers & ((made_after < 0) | (made_after >= np.arange(n)))
+    if wrong.any():
+        raise ValueError(f"code {int(codes[wrong][0])} isn't defined yet")
+    up = np.where(refers, made_after, np.arange(n))
+    length = refers.astype(np.int64)
+    while True:
+        further = up[up]
+        if np.array_equal(further, up):
+            break
+        length += np.where(up != np.arange(n), length[up], 0)
+        up = further
+    length += 1
+    start = np.cumsum(length) - length
+    total = int(length.sum())
+    offset = np.arange(total) - np.repeat(start, length)
+    at = np.where(np.repeat(refers, length), np.repeat(start[np.where(refers, made_after, 0)], length) + offset, np.arange(total))
+    while True:
+        further = at[at]
+        if np.array_equal(further, at):
+            break
+        at = further
+    samples = np.repeat(codes, length)
+    return samples[at].astype(np.uint8)
+
+
 def lzw_decode(stream: bytes, bits: int, most: int) -> bytes:
     """Samples of a code stream, `most` at most; ends at the end code, at the stream's end or when full.
 
-    Between clear codes, the width of a code depends on its place alone, so codes are unpacked
-    in one vectorised step and only strings are built one by one.
+    Between clear codes, the width of a code depends on its place alone, so codes are unpacked in one vectorised step.
     """
     clear, end = 1 << bits, (1 << bits) + 1
     raw = np.frombuffer(stream + b"\0\0\0\0", np.uint8).astype(np.uint32)
     n_bits, at = 8 * len(stream), 0
-    base: list[bytes] = [bytes((i,)) for i in range(clear)] + [b"", b""]
     out: list[bytes] = []
     size = 0
     widths, plan = _plan(bits)
     while at + bits + 1 <= n_bits and size < most:
-        k = int(np.searchsorted(plan, n_bits - at, side="right")) - 1
-        k = min(k, MAX_CODES * 2)
-        if k <= 0:
-            break
+        k = min(int(np.searchsorted(plan, n_bits - at, side="right")) - 1, MAX_CODES * 2)
         pos = plan[:k] + at
         byte = pos >> 3
         word = raw[byte] | raw[byte + 1] << 8 | raw[byte + 2] << 16
-        codes = (word >> (pos & 7).astype(np.uint32)) & ((1 << widths[:k]).astype(np.uint32) - 1)
+        codes = ((word >> (pos & 7).astype(np.uint32)) & ((1 << widths[:k]).astype(np.uint32) - 1)).astype(np.int64)
         stops = np.flatnonzero((codes == clear) | (codes == end))
         stop = int(stops[0]) if len(stops) else k
-        table = base.copy()
-        define = table.append
-        before = b""
-        for code in codes[:stop].tolist():
-            if code < len(table):
-                s = table[code]
-                if before and len(table) < MAX_CODES:
-                    define(before + s[:1])
-            elif code == len(table) and before:
-                s = before + before[:1]
-                if len(table) < MAX_CODES:
-                    define(s)
-            else:
-                raise ValueError(f"code {code} isn't defined yet")
-            out.append(s)
-            size += len(s)
-            before = s
+        if stop:
+            part = _strings(codes[:stop], clear)
+            out.append(part.tobytes())
+            size += len(part)
         if stop == k:  # no stop code in sight: the stream ends, or the table stays full for long
             if k < MAX_CODES * 2:
                 break
@@ -289,6 +303,29 @@ def histogram(canvas: np.ndarray) -> list[int]:
     return np.concatenate(counts).tolist()
 
 
+def frame_histograms(width: int, height: int, frames: list[Frame]) -> list[list[int]]:
+    """The histogram of each frame's canvas.
+
+    A frame that covers the canvas without transparency shows its own samples, so its counts follow from theirs and the palette.
+    """
+
+    def covers(f: Frame) -> bool:
+        return not f.left and not f.top and f.width == width and f.height == height and f.transparent is None and f.palette is not None and len(f.palette) == 256 and f.disposal < 2
+
+    if not all(covers(f) for f in frames[:-1]):
+        return [histogram(c) for c in compose(width, height, frames)]
+    out = []
+    for f in frames:
+        if covers(f):
+            n = np.bincount(np.frombuffer(f.samples, np.uint8), minlength=256)
+            bins = f.palette // (256 // HIST_BINS)
+            out.append(np.concatenate([np.bincount(bins[:, c], weights=n, minlength=HIST_BINS) for c in range(3)]).astype(int).tolist())
+        else:
+            *_, last = compose(width, height, frames[-2:])
+            out.append(histogram(last))
+    return out
+
+
 def store_payloads(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Append n_bytes and media: the text as UTF-8, filled with bytes 0 to a positive multiple of 64, as a GIF.
 
@@ -313,8 +350,8 @@ def read_frames(media: DataFrame, media_col: str = "media") -> DataFrame:
             return None
         width, height, _, frames = read_gif(data)
         out, start = [], 0
-        for f, canvas in zip(frames, compose(width, height, frames), strict=True):
-            out.append({"start_cs": start, "delay_cs": f.delay, "samples": f.samples, "histogram": histogram(canvas)})
+        for f, counts in zip(frames, frame_histograms(width, height, frames), strict=True):
+            out.append({"start_cs": start, "delay_cs": f.delay, "samples": f.samples, "histogram": counts})
             start += f.delay
         return out
 
@@ -326,9 +363,7 @@ def payload_features(media: DataFrame, media_col: str = "media") -> DataFrame:
 
     def one(data: bytes) -> tuple:
         width, height, _, frames = read_gif(data)
-        total = np.zeros(3 * HIST_BINS, np.int64)
-        for canvas in compose(width, height, frames):
-            total += histogram(canvas)
+        total = np.sum(frame_histograms(width, height, frames), axis=0, dtype=np.int64)
         payload = b"".join(f.samples for f in frames)
         feature = f"frames={len(frames)};cs={sum(f.delay for f in frames)};hist={','.join(map(str, total[:HIST_BINS].tolist()))}"
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-WIDTH:]), len(data), hashlib.sha256(data).hexdigest(), feature
