@@ -8,6 +8,7 @@ import hashlib
 import os
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -28,18 +29,27 @@ def byte_to_char() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
+#: Pieces remembered by a worker; then it starts anew.
+PIECES = 300_000
+
+
 class Codec:
     """Encode texts to ranks with offsets, and decode ranks to bytes or text."""
 
     def __init__(self, ranks_path: str, model_path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on each core
-        from tokenizers import Regex, Tokenizer, pre_tokenizers
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.model = Tokenizer.from_file(model_path)
         self.model.encode_special_tokens = True
-        self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # The model gets one match of the pattern at a time, and only maps its bytes to characters.
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)
+        self.pattern = regex.compile(pattern)
+        self.ids: dict[str, str] = {}
+        self.raw: dict[str, bytes] = {}
         back = {c: b for b, c in byte_to_char().items()}
         self.table: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, r in ranks.items():
@@ -49,12 +59,42 @@ class Codec:
             if all(c in back for c in token) and (raw := bytes(back[c] for c in token)) in ranks and ranks[raw] != i:
                 raise ValueError(f"id {i} of the model isn't the rank {ranks[raw]}")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+    def pieces_of(self, texts: list[str]) -> list[list[str]]:
+        """The pieces of each text, which are the matches of the pattern. Those not seen before are encoded together, and their ids decoded."""
+        every = [self.pattern.findall(t) for t in texts]
+        if len(self.ids) > PIECES:
+            self.ids.clear()
+            self.raw.clear()
+        known = self.ids
+        unknown = {p for pieces in every for p in pieces if p not in known}
+        if unknown:
+            new = list(unknown)
+            for p, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                ids = e.ids
+                known[p] = " ".join(map(str, ids))
+                self.raw[p] = self.decode_bytes(ids)
+        return every
+
+    def encode_to_text(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """Of each text, its ids as decimal text joined by a space, and the bytes that these ids decode to."""
+        ids, raw = self.ids.__getitem__, self.raw.__getitem__
+        return [(" ".join(map(ids, pieces)), b"".join(map(raw, pieces))) for pieces in self.pieces_of(texts)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(s.split(), np.int32) for s, _ in self.encode_to_text(texts)]
 
     def encode_with_offsets(self, texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
         """Ids, and for each the (start, end) of the characters that its bytes belong to."""
-        return [(e.ids, e.offsets) for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        out = []
+        for text in texts:
+            ids: list[int] = []
+            offsets: list[tuple[int, int]] = []
+            places = [m.span() for m in self.pattern.finditer(text)]
+            for (start, end), e in zip(places, self.model.encode_batch([text[a:b] for a, b in places], add_special_tokens=False), strict=True):
+                ids += e.ids
+                offsets += [(min(start + a, end), min(start + b, end)) for a, b in e.offsets]
+            out.append((ids, offsets))
+        return out
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -84,12 +124,6 @@ FIELDS = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayT
 DIGESTS = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
 
-def _decoded(values: list, paths: tuple[str, str, str]) -> tuple[list[list[int]], list[bytes]]:
-    c = codec(*paths)
-    ids = c.encode([v or "" for v in values])
-    return ids, [c.decode_bytes(x) for x in ids]
-
-
 def encode_documents(docs: DataFrame, text_col: str = "text", paths: tuple[str, str, str] | None = None) -> DataFrame:
     """Append n_tokens, ids (ranks of the vocabulary) and decoded (the bytes that the ids give back).
 
@@ -100,8 +134,9 @@ def encode_documents(docs: DataFrame, text_col: str = "text", paths: tuple[str,
 
     def make():
         def f(values: list) -> list[list]:
-            ids, raw = _decoded(values, paths)
-            return [[len(x) for x in ids], ids, raw]
+            both = codec(*paths).encode_to_text([v or "" for v in values])
+            ids = [np.array(s.split(), np.int32) for s, _ in both]
+            return [[len(x) for x in ids], ids, [raw for _, raw in both]]
 
         return f
 
@@ -114,9 +149,9 @@ def digest_documents(docs: DataFrame, text_col: str = "text", paths: tuple[str,
 
     def make():
         def f(values: list) -> list[list]:
-            ids, raw = _decoded(values, paths)
             sha = lambda x: hashlib.sha256(x).hexdigest()
-            return [[len(x) for x in ids], [sha(" ".join(map(str, x)).encode()) for x in ids], [sha(x) for x in raw]]
+            both = codec(*paths).encode_to_text([v or "" for v in values])
+            return [[s.count(" ") + 1 if s else 0 for s, _ in both], [sha(s.encode()) for s, _ in both], [sha(raw) for _, raw in both]]
 
         return f
 
