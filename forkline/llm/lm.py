@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,10 +21,10 @@ HELD_OUT_MOD = 10
 ALPHA = 0.1
 #: Words that are outputs of their own, and classes of the others by their first letters.
 OUTPUTS, CLASSES, CLASS_BYTES = 900, 160, 4
-#: Words whose counts every worker holds; counts of all others are joined.
-HELD_WORDS = 250_000
-#: Of the training tokens, one in so many is a training example; its two predecessors are its context.
-EXAMPLE_EVERY = 20
+#: Words whose counts every worker holds, at most; counts of all others are joined.
+HELD_WORDS = 150_000
+#: Examples come from windows of so many characters, anywhere in a text, which hold about one training character in EXAMPLE_EVERY.
+WINDOW, EXAMPLE_EVERY = 240, 30
 #: Shards that train in parallel from one start and are averaged, and rounds of that.
 SHARDS, ROUNDS = 12, 2
 DIM, NOISE, BATCH, RATE = 24, 10, 512, 0.12
@@ -38,18 +39,17 @@ def _count_words(df: DataFrame) -> DataFrame:
     schema = to_arrow_schema(COUNT)
 
     def run(batches):
-        held: dict[bytes, int] = {}
+        held: Counter[bytes] = Counter()
         ends = 0
         out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=schema)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for w in words_of(text):
-                    held[w] = held.get(w, 0) + 1
+                held.update(words_of(text))
                 ends += 1
                 if len(held) > FLUSH:
                     yield out()
                     held.clear()
-        held[END] = held.get(END, 0) + ends
+        held[END] += ends
         yield out()
 
     return df.mapInArrow(run, COUNT)
@@ -81,6 +81,23 @@ def class_column(word, prefixes: dict[bytes, int], other: int):
     return F.coalesce(*found, F.lit(other))
 
 
+def _frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """The most frequent words, HELD_WORDS at most, most frequent first: all above a count that a histogram finds, so nothing is sorted on the driver's behalf."""
+    level = F.floor(8 * F.log2("n")).cast("int")
+    sizes = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)  # 8 levels for each doubling
+    room, least = HELD_WORDS, None
+    for x, n in sizes:
+        room -= n
+        if room < 0:
+            break
+        least = x
+    if least is None:
+        return []
+    table = counts.where(level >= least).toArrow()
+    words, n = table["word"].to_pylist(), table["n"].to_pylist()
+    return sorted(zip(words, n, strict=True), key=lambda x: (-x[1], x[0]))
+
+
 # ---- the model ----------------------------------------------------------------------------------
 
 
@@ -204,9 +221,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Counts are exact sums over all training tokens. The model has 900 words and the end as outputs of their own, and
     160 classes of all other words by their first letters; such a word has its class's probability times its smoothed
-    share of the class. Examples are one in 20 training tokens, so they grow with the corpus; 12 shards train from
-    one start and are averaged, two times. Counts of the 250,000 most frequent words are sent to the workers; other words
-    are joined with the table of counts, pre-aggregated by row. A null or empty text is an end alone; a null id is
+    share of the class. Examples are windows that hold about one training token in 30, so they grow with the corpus; 12 shards train from
+    one start and are averaged, two times. Counts of the most frequent words, 150,000 at most, are sent to the workers; other words are joined with the table of counts, pre-aggregated by row. A null or empty text is an end alone; a null id is
     held out, as the checksum of the empty text is 0; rows that repeat an id are each scored; an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -215,7 +231,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     training = source.where(remainder("doc_id", HELD_OUT_MOD) != 0).select("text")
     counts = scratch.save(_count_words(training).groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = [(bytes(r[0]), r[1]) for r in counts.orderBy(F.desc("n"), "word").limit(HELD_WORDS).collect()]
+    frequent = _frequent(counts)
     outputs = {w: i for i, w in enumerate(dict.fromkeys([END, *(w for w, _ in frequent[:OUTPUTS])]))}
     # Classes: the prefixes that hold most of what the outputs leave, longer ones splitting their shorter ones.
     left = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in outputs], "word binary")), "word", "left_anti")
@@ -240,15 +256,27 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def examples():
         known = shared.value
-        state = np.random.default_rng(3)
+        g = np.random.default_rng(3)
 
-        def f(batch: pa.RecordBatch) -> dict:
+        def f(batch: pa.RecordBatch) -> dict | None:
             parts = []
             for text in batch.column(0).to_pylist():
-                ids, _, _ = _ids(words_of(text), known)
-                a, b = _contexts(ids, known.n_ids)
-                at = np.arange(state.integers(EXAMPLE_EVERY), len(ids), EXAMPLE_EVERY)
-                parts.append(np.stack((a[at], b[at], ids[at])))
+                text = text or ""
+                rate = (len(text) + WINDOW) / (WINDOW * EXAMPLE_EVERY)
+                for _ in range(int(rate + g.random())):
+                    at = int(g.integers(-WINDOW, len(text) + 1))
+                    words = words_of(text[max(0, at) : at + WINDOW])
+                    whole = at + WINDOW >= len(text)
+                    words = words if whole else words[:-1]  # the last one may be cut
+                    ids, _, _ = _ids(words, known)
+                    ids = ids if whole else ids[:-1]
+                    if at <= 0:
+                        a, b = _contexts(ids, known.n_ids)
+                    else:  # the first one may be cut, and the next two have no whole context
+                        a, b, ids = ids[2:-1], ids[1:-2], ids[3:]
+                    parts.append(np.stack((a, b, ids)))
+            if not parts:
+                return None
             a, b, w = np.concatenate(parts, axis=1).astype(np.int16)
             return {"a": a, "b": b, "w": w}
 
