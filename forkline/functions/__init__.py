@@ -1 +1 @@
-""""""
+"""Column expressions and codecs."""

@@ -1 +1 @@
-""""""
+"""Operators over raw events and logs."""

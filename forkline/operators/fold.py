@@ -65,8 +65,10 @@ def upsert_outcome(event_log: DataFrame) -> DataFrame:
 
 
 def cursor_current(cursor_log: DataFrame) -> DataFrame:
-    """One row per name; positions never fall, metadata and time are the last."""
-    return cursor_log.groupBy("name").agg(F.max("slot").alias("slot"), F.max("seq").alias("seq"), F.max("source_seq").alias("source_seq"), F.max_by("metadata", "ord").alias("metadata"), F.max_by("updated_at", "ord").alias("updated_at"))
+    """One row per name; positions never fall, metadata and time are the last. A row without a slot deletes what its name had before."""
+    gone = cursor_log.where("slot is null").groupBy("name").agg(F.max("ord").alias("__gone"))
+    live = cursor_log.where("slot is not null").join(gone, "name", "left").where("__gone is null or ord > __gone")
+    return live.groupBy("name").agg(F.max("slot").alias("slot"), F.max("seq").alias("seq"), F.max("source_seq").alias("source_seq"), F.max_by("metadata", "ord").alias("metadata"), F.max_by("updated_at", "ord").alias("updated_at"))
 
 
 def batch_watermark(event_log: DataFrame) -> DataFrame:

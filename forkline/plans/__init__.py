@@ -1 +1 @@
-""""""
+"""Named queries, their SQL twins, and the read API."""

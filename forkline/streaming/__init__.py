@@ -1 +1 @@
-""""""
+"""Micro-batches, the store and its metrics."""

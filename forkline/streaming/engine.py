@@ -9,12 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import chain, dlq, engine
 from ..operators.prefix import numbered
 from ..schemas import ACTION_LOG, CURSOR_LOG, DLQ_LOG, EVENT_LOG, RAW, REORG_LOG, SLOT_LOG
+from .metrics import Metrics
 from .store import Store
 
 CURSOR = "main"
 
 
-def ingest(store: Store, raw: DataFrame, batch: int | None = None, extra_dlq: DataFrame | None = None, max_slots: int = chain.MAX_SLOTS, max_depth: int = chain.MAX_DEPTH) -> bool:
+def ingest(store: Store, raw: DataFrame, batch: int | None = None, extra_dlq: DataFrame | None = None, max_slots: int = chain.MAX_SLOTS, max_depth: int = chain.MAX_DEPTH, metrics: Metrics | None = None) -> bool:
     """Commit one batch of raw events; False where this batch of the stream is committed already.
 
     Repairs (replays and backfills) are batches without a number. extra_dlq are log rows to commit together with the events.
@@ -31,12 +32,12 @@ def ingest(store: Store, raw: DataFrame, batch: int | None = None, extra_dlq: Da
     cast = lambda df, schema: df.select(*(F.col(f.name).cast(f.dataType) for f in schema))
     events = store.write(cast(run.event_log, EVENT_LOG), "event_log", commit)
     store.write(cast(run.slot_log, SLOT_LOG), "slot_log", commit)
-    store.write(cast(run.reorgs, REORG_LOG), "reorg_log", commit)
+    reorgs = store.write(cast(run.reorgs, REORG_LOG), "reorg_log", commit)
     store.write(cast(run.actions, ACTION_LOG), "action_log", commit)
     letters = dlq.rejects(run.bad)
     if extra_dlq is not None:
         letters = letters.unionByName(extra_dlq)
-    store.write(cast(letters, DLQ_LOG), "dlq_log", commit)
+    kept = store.write(cast(letters, DLQ_LOG), "dlq_log", commit)
     top = events.agg(F.max("slot"), F.max("seq")).first()
     live = run.accepted.where("origin = 'live'").agg(F.max("source_seq")).first()[0]
     count = ordered.agg(F.max("arrival")).first()[0]
@@ -45,18 +46,20 @@ def ingest(store: Store, raw: DataFrame, batch: int | None = None, extra_dlq: Da
     cursor = {"slot": max(top[0] or 0, (before["cursor"] or {}).get("slot", 0)), "seq": max(top[1] or 0, before["next_seq"] - 1), "source_seq": seen}
     rows = store.spark.createDataFrame([(CURSOR, cursor["slot"], cursor["seq"], seen, None, None, start * chain.STEPS)], CURSOR_LOG)
     store.write(rows, "cursor_log", commit)
-    store.publish(
-        {
-            "commit": commit,
-            "last_batch": before["last_batch"] if batch is None else batch,
-            "last_seen": seen,
-            "next_seq": cursor["seq"] + 1,
-            "next_arrival": (count or start - 1) + 1,
-            "tracker": state[0] if state else before["tracker"],
-            "cursor": cursor,
-            "tables": ["event_log", "slot_log", "reorg_log", "action_log", "dlq_log", "cursor_log"],
-        }
-    )
+    manifest = {
+        "commit": commit,
+        "last_batch": before["last_batch"] if batch is None else batch,
+        "last_seen": seen,
+        "next_seq": cursor["seq"] + 1,
+        "next_arrival": (count or start - 1) + 1,
+        "tracker": state[0] if state else before["tracker"],
+        "cursor": cursor,
+        "tables": ["event_log", "slot_log", "reorg_log", "action_log", "dlq_log", "cursor_log"],
+    }
+    store.publish(manifest)
+    if metrics is not None:
+        by_depth = reorgs.groupBy("depth").count().collect()  # at most one row per depth, which is bounded
+        metrics.committed(manifest, [r["depth"] for r in by_depth for _ in range(r["count"])], kept.count())
     for name in ("raw", "accepted", "good", "decisions"):
         store._fs().delete(store._path(f"_work_{name}/commit={commit:020d}"), True)
     return True

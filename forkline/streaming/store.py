@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators import fold
+from ..operators import dlq, fold
 from ..schemas import TABLES
 
 
@@ -108,6 +107,46 @@ class Store:
     def cursors(self) -> DataFrame:
         return fold.cursor_current(self.table("cursor_log"))
 
+    def letters(self) -> DataFrame:
+        return dlq.state(self.table("dlq_log"))
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema).where(F.lit(False))
+    def register_views(self, prefix: str = "") -> None:
+        """Make the current tables and the logs known to SQL."""
+        for name in TABLES:
+            self.table(name).createOrReplaceTempView(prefix + name)
+        for name, df in (("events_current", self.events()), ("slots_current", self.slots()), ("cursors", self.cursors()), ("dead_letters", self.letters())):
+            df.createOrReplaceTempView(prefix + name)
+
+    # ---- maintenance: each is a commit of its own that changes no position
+
+    def _repair(self, tables: dict[str, DataFrame], compacted: bool = False) -> None:
+        last = self.last()
+        commit = last["commit"] + 1
+        for name, df in tables.items():
+            self.write(df, name, commit)
+        self.publish({**{k: v for k, v in last.items() if k != "compacted"}, "commit": commit, "tables": list(tables), **({"compacted": True} if compacted else {})})
+
+    def delete_cursor(self, name: str) -> None:
+        at = self.last()["next_arrival"] * 4
+        self._repair({"cursor_log": self.spark.createDataFrame([(name, None, None, None, None, None, at)], TABLES["cursor_log"])})
+
+    def purge_invalid(self, before_slot: int) -> int:
+        """Drop rows that are invalid and below a slot from the event log; how many identities went. All logs are rewritten as one commit."""
+        gone = self.events().where((F.col("slot") < before_slot) & ~F.col("is_valid")).select("slot", "source_seq")
+        n = gone.count()
+        if n:
+            tables = {name: self.table(name) for name in TABLES}
+            tables["event_log"] = tables["event_log"].join(gone, ["slot", "source_seq"], "left_anti").select(*TABLES["event_log"].names)
+            self._repair(tables, compacted=True)
+        return n
+
+    def purge_letters(self, days: int, now: Column | None = None) -> int:
+        """Drop dead letters that were resolved more than `days` days ago; how many went."""
+        entries = self.letters()
+        stay = dlq.purged(entries, days, now if now is not None else F.current_timestamp()).select("id")
+        n = entries.count() - stay.count()
+        if n:
+            tables = {name: self.table(name) for name in TABLES}
+            tables["dlq_log"] = tables["dlq_log"].join(stay, "id", "left_semi").select(*TABLES["dlq_log"].names)
+            self._repair(tables, compacted=True)
+        return n
