@@ -18,6 +18,8 @@ RUN_SENTENCES, RUN_WORDS = 3, 15
 #: A sentence of more words is cut after each word whose hash ends in zeros for one word in CUT_EVERY, so that
 #: copies are cut alike wherever they stand.
 LONG_SENTENCE, CUT_EVERY = 16, 5
+#: What is still long then, as one word over and over, is cut after so many words.
+PIECE = 12
 ENDS = (b".", b"!", b"?")
 _STEP = 0x9E3779B97F4A7C15
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,6 +49,9 @@ def sentences_of(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.n
     at = np.flatnonzero(start)
     long = np.repeat(np.diff(at) > LONG_SENTENCE, np.diff(at))
     start[1:] |= long & ((h >> np.uint64(20)) % np.uint64(CUT_EVERY) == 0)
+    at = np.flatnonzero(start)
+    for i in np.flatnonzero(np.diff(at) > LONG_SENTENCE):
+        start[at[i] : at[i + 1] : PIECE] = True
     return h, np.flatnonzero(start)
 
 

@@ -53,13 +53,14 @@ def units(text: str, hashes) -> list[list[bytes]]:
                 sentence = []
         found += [sentence] if sentence else []
         for s in found:
-            piece = []
+            pieces = [[]]
             for w in s:
-                piece.append(w)
+                pieces[-1].append(w)
                 if len(s) > substring.LONG_SENTENCE and (hashes[w] >> 20) % substring.CUT_EVERY == 0:
-                    out.append(piece)
-                    piece = []
-            out += [piece] if piece else []
+                    pieces.append([])
+            for piece in filter(None, pieces):
+                step = substring.PIECE if len(piece) > substring.LONG_SENTENCE else len(piece)
+                out += [piece[k : k + step] for k in range(0, len(piece), step)]
     return out
 
 
@@ -67,6 +68,7 @@ def test_substring_dedup_equals_brute_force(spark):
     r = random.Random(4)
     shared = [prose(r, 60) for _ in range(3)]
     rows = [(i, " ".join([prose(r, r.randint(0, 40)), r.choice(shared), prose(r, r.randint(0, 40))]) + ("\n" + shared[0] if i % 7 == 0 else "")) for i in range(40)]
+    rows += [(50 + i, f"{prose(r, 20)} " + "over " * (60 + 9 * i) + prose(r, 20)) for i in range(3)]
     got = {x["doc_id"]: x for x in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     hashes, seen = minhash.WordHashes(), set()
     for i, text in rows:
