@@ -56,6 +56,20 @@ class Indexed:
         return fold.rollback_counts(self.event_log, self.actions, self.reorgs, self.legacy)
 
 
+def _without_refused(good: DataFrame, decisions: DataFrame, legacy: bool) -> DataFrame:
+    """Events that are written: none of a refused run; in legacy mode, all but its first.
+
+    A pair of slot and parent that was refused may be accepted when it comes again, so the last decision before an event counts.
+    """
+    refused = F.col("outcome").isin("rooted_refusal", "depth_refusal")
+    if legacy:
+        return good.join(decisions.where(refused).select("arrival"), "arrival", "left_anti")
+    pair = ["slot", "parent_slot"]
+    history = decisions.select(*pair, "arrival", refused.alias("refused")).groupBy(*pair).agg(F.sort_array(F.collect_list(F.struct("arrival", "refused"))).alias("__history"), F.max("refused").alias("__any")).where("__any").drop("__any")
+    last = F.try_element_at(F.filter("__history", lambda x: x["arrival"] <= F.col("arrival")), F.lit(-1))
+    return good.join(history, pair, "left").where(~F.coalesce(last["refused"], F.lit(False))).select(*good.columns)
+
+
 def index(
     raw: DataFrame, *, check_json: bool = False, last_seen: int | None = None, first_seq: int = 1, max_slots: int = MAX_SLOTS, max_depth: int = MAX_DEPTH, legacy: bool = False, json_columns: bool = False, state: str | None = None, width: int = WIDTH, keep: Callable[[DataFrame, str], DataFrame] | None = None, with_state: bool = False
 ) -> Indexed:
@@ -71,10 +85,7 @@ def index(
     if check_json:
         good = stored(good, "good")
     decisions = stored(chain.track(chain.slot_runs(good), max_slots, max_depth, legacy, state, with_state=with_state), "decisions")
-    # Refused slots write no events: all of theirs when the chain stayed as it was, the first alone when it had switched.
-    refused = decisions.where(F.col("outcome").isin("rooted_refusal", "depth_refusal"))
-    cut = ["arrival"] if legacy else ["slot", "parent_slot"]
-    written = good.join(refused.select(*cut).distinct(), cut, "left_anti")
+    written = _without_refused(good, decisions, legacy)
     payload = F.col("payload").cast("string")
     numbered = sequence.assign(written, first_seq, width)
     log = numbered.select(

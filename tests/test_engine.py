@@ -92,3 +92,14 @@ def test_slot_predicates_reach_the_scan(spark, tmp_path):
     events = fold.events_current(spark.read.parquet(f"{tmp_path}/e"), spark.read.parquet(f"{tmp_path}/a"))
     plan = reads.list_events(events, reads.EventQuery(slot=105))._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(slot,105)" in plan and "TakeOrderedAndProject" in plan
+
+
+def test_a_refused_slot_is_written_when_it_is_accepted_later(spark):
+    """Slot 120 is refused while its rollback is too deep, and accepted when the chain has fallen back."""
+    made = S().extend(100, 10, 1).fork(120, 103, 1, 2).fork(110, 106, 1, 1).fork(120, 103, 1, 2)
+    x = engine.index(made.events(spark), max_depth=5)
+    assert [r["outcome"] for r in x.decisions.orderBy("arrival").collect()][-3:] == ["depth_refusal", "reorg", "reorg"]
+    rows = x.events.where("slot = 120").orderBy("source_seq").collect()
+    assert [r["source_seq"] for r in rows] == [14, 15] and all(r["is_valid"] for r in rows)
+    old = engine.index(made.events(spark), max_depth=5, legacy=True)
+    assert old.events.where("slot = 120").count() == 3  # the refused run's second event counted as a duplicate and was written
