@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import ClassVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Intermediate tables, written to the shared folder so that a lost executor loses none of them."""
+    """Intermediate tables, written to the shared folder so that a lost executor loses none of them.
+
+    Results are lazy and may read them, so they stay until clear() is called, when no result is needed any more.
+    """
+
+    roots: ClassVar[list[Scratch]] = []
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/forkline-{what}-{uuid.uuid4().hex}"
+        Scratch.roots.append(self)
+
+    @classmethod
+    def clear(cls) -> None:
+        """Delete all tables that this process has written."""
+        for scratch in cls.roots:
+            scratch.drop("")
+        cls.roots.clear()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -55,7 +69,7 @@ class Scratch:
         """Delete tables that no returned DataFrame reads any more."""
         jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path = jvm.org.apache.hadoop.fs.Path(self.path(name).rstrip("/"))
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

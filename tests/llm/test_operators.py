@@ -491,3 +491,16 @@ def test_svd_finds_the_leading_directions(spark):
     basis = decontaminate.randomized_svd(rows, 40, rank=5, extra=5, iterations=4)
     true = np.linalg.svd(a)[2][:5].T
     assert np.allclose(np.linalg.svd(basis.T @ true)[1], 1, atol=1e-2)
+
+
+def test_scratch_tables_go_when_cleared(spark):
+    from forkline.llm.common import Scratch
+
+    scratch = Scratch(spark, "gone")
+    scratch.save(spark.range(3), "t")
+    assert scratch.read("t").count() == 3
+    others, Scratch.roots = [r for r in Scratch.roots if r is not scratch], [scratch]
+    Scratch.clear()
+    Scratch.roots += others
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        scratch.read("t").count()
