@@ -22,6 +22,8 @@ SHINGLE_WORDS, PERCENT = 5, 75
 TREES, DEPTH, LEAST_DEPTH = 24, 5, 3
 #: Members of a region that are all compared; larger ones go deeper, and compare sorted neighbours.
 REGION, NEIGHBOURS = 24, 2
+#: Members nearest to a large region's middle, and how many of them each member is compared with, those nearest to it.
+PIVOTS, PIVOTS_EACH = 48, 4
 #: Bits of the 128-bit sketch in which a pair may differ (similarity 0.75: 16 expected, standard deviation 3.7), and up to which it counts as surely linked.
 FAR_BITS, NEAR_BITS = 36, 6
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,11 +129,23 @@ def _entries():
     return f
 
 
+def pivots_of(sketches: list[int]) -> list[list[int]]:
+    """For each member, the PIVOTS_EACH nearest of those PIVOTS members whose sketches are nearest to the majority of each bit."""
+    raw = np.frombuffer(b"".join(s.to_bytes(16, "big") for s in sketches), np.uint8).reshape(-1, 16)
+    bits = np.unpackbits(raw, axis=1).astype(np.float32)
+    centre = (bits.mean(axis=0) > 0.5).astype(np.float32)
+    chosen = np.argsort(np.abs(bits - centre).sum(axis=1), kind="stable")[:PIVOTS]
+    far = bits.sum(axis=1)[:, None] + bits[chosen].sum(axis=1) - 2 * bits @ bits[chosen].T
+    far[chosen, np.arange(len(chosen))] = 129
+    return chosen[np.argsort(far, axis=1, kind="stable")[:, :PIVOTS_EACH]].tolist()
+
+
 def region_pairs(q: list[int], ids: list[int], sizes: list[int], sketches: list[int]) -> Iterator[tuple[int, int]]:
     """Candidates in one region: members whose signatures share LEAST_DEPTH hashes, sorted by the deeper ones.
 
-    Small regions compare all members. Larger ones compare each member with those that follow it in
-    sorted order, and all members of each sub-region of one more, then two more common hashes that is small. A
+    Small regions compare all members. Larger ones compare each member with those that follow it in sorted order, with a
+    few members in the region's middle (copies of one text link with what is nearest to it), and all members
+    of each sub-region of one more, then two more common hashes that is small. A
     pair is left out where sizes or sketches rule it out, or where surely linked pairs join it already.
     """
     n = len(ids)
@@ -164,6 +178,10 @@ def region_pairs(q: list[int], ids: list[int], sizes: list[int], sketches: list[
         for j in range(i + 1, min(n, i + 1 + NEIGHBOURS)):
             if tried(i, j):
                 yield (ids[i], ids[j])
+    for i, near in enumerate(pivots_of(sketches)):
+        for j in near:
+            if tried(i, j):
+                yield (ids[i], ids[j])
     for shift in (32, 0):
         lo = 0
         for i in range(1, n + 1):
@@ -213,18 +231,18 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _confirm():
     hashes = WordHashes()
-    sets: dict[int, np.ndarray] = {}
+    sets: dict[str, np.ndarray] = {}  # by text, as rows that repeat an id can have several
 
-    def of(i: int, text: str) -> np.ndarray:
-        if i not in sets:
+    def of(text: str) -> np.ndarray:
+        if text not in sets:
             if len(sets) > 500:
                 sets.clear()
-            sets[i] = shingle_set(words_of(text), hashes)
-        return sets[i]
+            sets[text] = shingle_set(words_of(text), hashes)
+        return sets[text]
 
     def f(batch: pa.RecordBatch) -> dict:
         a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-        keep = [i for i in range(len(a)) if linked(of(a[i], ta[i]), of(b[i], tb[i]))]
+        keep = [i for i in range(len(a)) if linked(of(ta[i]), of(tb[i]))]
         return {"a": [a[i] for i in keep], "b": [b[i] for i in keep]}
 
     return f
