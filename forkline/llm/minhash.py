@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,6 +39,8 @@ SIGNATURE = T.StructType(
     ]
 )
 ENTRY = T.StructType([T.StructField(x, T.LongType()) for x in ("tree", "p", "q", "id", "n", "s0", "s1")])
+MEMBER = T.StructType([T.StructField(x, T.LongType()) for x in ("tree", "p", "id", "n", "s0", "s1", "component")])
+SHINGLE = T.StructType([T.StructField(x, T.LongType()) for x in ("doc_id", "key", "component", "n", "shingle")])
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -129,6 +131,18 @@ def _entries():
     return f
 
 
+def _members():
+    """Entries of the second round: with the component so far, without the deeper hashes."""
+    entries = _entries()
+
+    def f(batch: pa.RecordBatch) -> dict:
+        out = entries(batch)
+        out.pop("q")
+        return out | {"component": np.repeat(batch.column(4).to_numpy(zero_copy_only=False), TREES)}
+
+    return f
+
+
 def pivots_of(sketches: list[int]) -> list[list[int]]:
     """For each member, the PIVOTS_EACH nearest of those PIVOTS members whose sketches are nearest to the majority of each bit."""
     raw = np.frombuffer(b"".join(s.to_bytes(16, "big") for s in sketches), np.uint8).reshape(-1, 16)
@@ -223,6 +237,121 @@ def _forest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from made()
 
 
+#: Members compared with all others at once in the second round, and rows that a task holds before they leave it.
+BLOCK, HELD_ROWS = 256, 100_000
+
+
+def open_members(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, components: np.ndarray) -> np.ndarray:
+    """Which of a region's members have another in it, in a different component, that sizes and sketches don't rule out."""
+    n = len(ids)
+    found = np.zeros(n, bool)
+    if (components == components[:1]).all():
+        return found
+    for lo in range(0, n, BLOCK):
+        here = slice(lo, lo + BLOCK)
+        for at in range(0, n, 16 * BLOCK):
+            there = slice(at, at + 16 * BLOCK)
+            fit = 100 * np.minimum(sizes[here, None], sizes[there]) >= PERCENT * np.maximum(sizes[here, None], sizes[there])
+            fit &= components[here, None] != components[there]
+            far = np.bitwise_count(sketches[here, None, 0] ^ sketches[there, 0]) + np.bitwise_count(sketches[here, None, 1] ^ sketches[there, 1])
+            found[here] |= (fit & (far <= FAR_BITS)).any(axis=1)
+    return found
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """The other columns of one group after the other, whole, from rows sorted by their first columns, the keys."""
+    held: list[list[np.ndarray]] = []
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        new = functools.reduce(np.logical_or, (np.diff(c) != 0 for c in columns[:keys]))
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            here = tuple(c[lo] for c in columns[:keys])
+            if here != at and held:
+                yield [np.concatenate(c) for c in zip(*held, strict=True)]
+                held = []
+            at = here
+            held.append([c[lo:hi] for c in columns[keys:]])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def _open_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, sizes, s0, s1, components in _groups(batches, 2):
+        found = np.unique(ids[open_members(ids, sizes, np.stack((s0, s1), axis=1).view(np.uint64), components)])
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["doc_id"])
+
+
+def _shingle_rows():
+    hashes = WordHashes()
+
+    def f(batch: pa.RecordBatch) -> dict:
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
+        for i, text, component in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            s = shingle_set(words_of(text), hashes)
+            key = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+            for c, v in zip(out, (i, key, component, len(s)), strict=False):
+                c.append(np.full(len(s), v, np.int64))
+            out[4].append(s.view(np.int64))
+        return dict(zip(SHINGLE.names, map(np.concatenate, out), strict=True))
+
+    return f
+
+
+def _prefix_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs in different components that share a shingle and can still be linked if it is the first that they share.
+
+    The sets are ordered alike; at is a shingle's place from 1, so what two sets share from there on is bounded.
+    """
+    schema = to_arrow_schema(PAIR)
+    held: list[np.ndarray] = []
+
+    def out() -> pa.RecordBatch:
+        found = np.unique(np.concatenate(held), axis=0)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=schema)
+
+    for ids, components, n, at in _groups(batches, 1):
+        for lo in range(0, len(ids), BLOCK):
+            here = slice(lo, lo + BLOCK)
+            for start in range(lo, len(ids), 16 * BLOCK):
+                there = slice(start, start + 16 * BLOCK)
+                both = 1 + np.minimum(n[here, None] - at[here, None], n[there] - at[there])
+                keep = (100 + PERCENT) * both >= PERCENT * (n[here, None] + n[there])
+                keep &= (components[here, None] != components[there]) & (ids[here, None] != ids[there])
+                i, j = np.nonzero(keep)
+                if len(i):
+                    a, b = ids[here][i], ids[there][j]
+                    held.append(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1))
+                    if sum(map(len, held)) > HELD_ROWS:
+                        yield out()
+    if held:
+        yield out()
+
+
+def open_links(source: DataFrame, reps: DataFrame, so_far: DataFrame, scratch: Scratch, parts: int) -> DataFrame:
+    """Candidates (a, b) among all members of a region that are still in different components, in regions of any size.
+
+    Members that sketches rule out against all others are left aside. Among the rest, each set is sorted by how many of them have
+    a shingle; linked sets share one of their first 25 % and one, so only those are grouped, and no linked pair is lost.
+    """
+    members = reps.join(so_far.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", "sketch", "signature", F.coalesce("component", "doc_id").alias("component"))
+    members = flat_map(members, MEMBER, _members).repartition(parts, "tree", "p").sortWithinPartitions("tree", "p")
+    ids = scratch.save(members.mapInArrow(_open_ids, "doc_id long").distinct(), "open")
+    ids = ids.join(so_far.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+    texts = source.join(ids.hint("merge"), "doc_id").select("doc_id", "text", "component")
+    rows = scratch.save(flat_map(texts, SHINGLE, _shingle_rows).distinct(), "shingles")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("doc_id", "key").orderBy("often", "shingle")
+    first = rows.join(often, "shingle").withColumn("at", F.row_number().over(order).cast("long")).where(f"100 * (at - 1) <= {100 - PERCENT} * n")
+    grouped = first.select("shingle", "doc_id", "component", "n", "at").repartition(parts, "shingle").sortWithinPartitions("shingle")
+    return grouped.mapInArrow(_prefix_pairs, PAIR).distinct()
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether 100 * intersection >= 75 * union, for sorted sets."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -248,34 +377,45 @@ def _confirm():
     return f
 
 
-def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, name: str = "") -> DataFrame:
     """(id, component): the smallest id that links reach, for ids that occur in links (a, b).
 
     Each round takes the smallest label among a node and its neighbours, then follows labels to their own labels;
     both are joins of narrow rows with pre-aggregated minima. Every round is written to the shared
     folder. Labels at least halve their distance to the smallest, so rounds grow with the logarithm of the longest path.
     """
-    edges = scratch.save(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = scratch.save(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")), "labels0")
+    edges = scratch.save(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"edges{name}")
+    labels = scratch.save(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("label")), f"labels{name}0")
     step = 0
     while True:
         near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        better = scratch.save(labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"better{step}")
+        better = scratch.save(labels.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")), f"better{name}{step}")
         owner = better.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        jumped = scratch.save(better.join(owner, "label", "left").select("id", "old", F.coalesce(F.least("label", "next"), "label").alias("label")), f"labels{step + 1}")
+        jumped = scratch.save(better.join(owner, "label", "left").select("id", "old", F.coalesce(F.least("label", "next"), "label").alias("label")), f"labels{name}{step + 1}")
         changed = jumped.where("old != label").limit(1).count()
-        scratch.drop(f"better{step}", f"labels{step}")
+        scratch.drop(f"better{name}{step}", f"labels{name}{step}")
         labels, step = jumped.select("id", "label"), step + 1
         if not changed:
             return labels.select("id", F.col("label").alias("component"))
 
 
+def confirm(source: DataFrame, pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (a, b) whose full sets are linked; the texts that they need are written under the name."""
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    # The same plan at every size: candidates grow with the input, so they are never broadcast.
+    texts = scratch.save(source.join(wanted.hint("merge"), "doc_id", "left_semi"), name)
+    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    return flat_map(both.select("a", "b", "text_a", "text_b"), PAIR, _confirm)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable over links), kept (id = component_id).
 
     Rows with equal sets form a class, so copies are never paired; one representative of each class enters
     the forest. Its entries are sorted by ranges of (order, signature, id), so one huge region is dealt over many
-    tasks. Confirmation reads full texts of candidates only. A null, empty or blank text has an empty set and is
+    tasks. What that leaves out of large regions is compared in a second round: all members of a region that confirmed
+    links haven't joined yet. Confirmation reads full texts of candidates only. A null, empty or blank text has an empty set and is
     linked with nothing; rows that repeat an id are one node; a null id is its own component, null, and
     kept; an empty table gives no rows. Other columns are not read.
     """
@@ -291,19 +431,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = ["tree", "p", "q", "id"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     pairs = scratch.save(entries.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_forest_pairs, PAIR).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    # The same plan at every size: candidates grow with the input, so they are never broadcast.
-    texts = scratch.save(source.join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    confirmed = flat_map(both.select("a", "b", "text_a", "text_b"), PAIR, _confirm)
+    confirmed = confirm(source, pairs, scratch, "texts")
     # Rows that repeat an id with other texts belong to several classes; those are linked through their id.
     owned = narrow.where(usable).join(classes, ["key0", "key1"]).select("doc_id", "rep")
     several = owned.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).where("a != most").drop("most")
     same_id = owned.join(several, "doc_id").where("a != rep").select("a", F.col("rep").alias("b")).distinct()
     links = scratch.save(confirmed.union(same_id), "links")
-    scratch.drop("pairs", "texts")
-    of_rep = components(links, scratch)
+    scratch.drop("texts")
+    so_far = components(links, scratch, "first")
+    rest = scratch.save(open_links(source, reps, so_far, scratch, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
+    all_links = scratch.save(links.union(confirm(source, rest, scratch, "rest_texts")), "all_links")
+    scratch.drop("pairs", "open", "shingles", "rest", "rest_texts", "links")
+    of_rep = components(all_links, scratch, "last")
     of_class = classes.join(of_rep.withColumnRenamed("id", "rep"), "rep", "left").select("key0", "key1", F.coalesce("component", "rep").alias("component"))
     out = narrow.join(of_class.where("key0 is not null"), ["key0", "key1"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))

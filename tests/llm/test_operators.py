@@ -385,6 +385,18 @@ def test_large_groups_of_near_copies_and_repeated_ids(spark):
     assert as_tuples(minhash.near_duplicates(df).collect()) == brute_components(rows)
 
 
+def test_no_link_is_lost_in_a_large_group_of_heavily_edited_copies(spark):
+    r = random.Random(1)
+    base, rows = words(r, 240), []
+    for i in range(400):
+        w = list(base)
+        for _ in range(r.randint(5, 10)):
+            w[r.randrange(len(w))] = words(r, 1)[0]
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_tuples(minhash.near_duplicates(df).collect()) == brute_components(rows)
+
+
 def test_components_of_a_long_path(spark):
     n = 200
     order = list(range(n))
