@@ -23,8 +23,6 @@ ALPHA = 0.1
 OUTPUTS, CLASSES, CLASS_BYTES = 900, 160, 4
 #: Words whose counts every worker holds, at most; counts of all others are joined.
 HELD_WORDS = 150_000
-#: Examples come from windows of so many characters, anywhere in a text, which hold about one training character in EXAMPLE_EVERY.
-WINDOW, EXAMPLE_EVERY = 240, 30
 #: Shards that train in parallel from one start and are averaged, and rounds of that.
 SHARDS, ROUNDS = 12, 2
 DIM, NOISE, BATCH, RATE = 24, 10, 512, 0.12
@@ -128,13 +126,20 @@ class LogBilinear:
             at += size
         return cls(*parts)
 
-    def train(self, examples: np.ndarray, noise: np.ndarray, seed: int) -> None:
-        """One pass of noise-contrastive estimation over rows (a, b, w): the data word against NOISE words of the noise distribution, by Adagrad."""
+    def squares(self) -> list[np.ndarray]:
+        """Adagrad's sums at the start."""
+        return [np.full_like(x, 1e-2) for x in (self.r, self.q, self.c, self.bias)]
+
+    def train(self, examples: np.ndarray, noise: np.ndarray, seed: int, squares: list[np.ndarray] | None = None) -> None:
+        """One pass of noise-contrastive estimation over rows (a, b, w): the data word against NOISE words of the noise distribution, by Adagrad.
+
+        squares: its sums, to go on from an earlier pass; they are changed in place.
+        """
         g = np.random.default_rng(seed)
         order = g.permutation(len(examples))
         log_noise = np.log(NOISE * noise)
         cumulative = np.cumsum(noise)
-        squares = [np.full_like(x, 1e-2) for x in (self.r, self.q, self.c, self.bias)]
+        squares = squares or self.squares()
 
         def step(x, s, at, grad):
             np.add.at(s, at, grad * grad)
@@ -180,7 +185,8 @@ class LogBilinear:
         return (ha @ self.q.T + self.bias).astype(np.float32), (hb @ self.q.T).astype(np.float32), self.normalisers()
 
 
-EXAMPLE = T.StructType([T.StructField(x, T.ShortType()) for x in ("a", "b", "w")])
+#: The model ids of a training text, as 16-bit numbers; each is an example, and the two before it are its context.
+EXAMPLE = T.StructType([T.StructField("ids", T.BinaryType())])
 
 
 def _ids(words: list[bytes], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -221,7 +227,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Counts are exact sums over all training tokens. The model has 900 words and the end as outputs of their own, and
     160 classes of all other words by their first letters; such a word has its class's probability times its smoothed
-    share of the class. Examples are windows that hold about one training token in 30, so they grow with the corpus; 12 shards train from
+    share of the class. Every training token is an example; 12 shards train from
     one start and are averaged, two times. Counts of the most frequent words, 150,000 at most, are sent to the workers; other words are joined with the table of counts, pre-aggregated by row. A null or empty text is an end alone; a null id is
     held out, as the checksum of the empty text is 0; rows that repeat an id are each scored; an empty table gives no rows.
     """
@@ -256,29 +262,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def examples():
         known = shared.value
-        g = np.random.default_rng(3)
 
-        def f(batch: pa.RecordBatch) -> dict | None:
-            parts = []
-            for text in batch.column(0).to_pylist():
-                text = text or ""
-                rate = (len(text) + WINDOW) / (WINDOW * EXAMPLE_EVERY)
-                for _ in range(int(rate + g.random())):
-                    at = int(g.integers(-WINDOW, len(text) + 1))
-                    words = words_of(text[max(0, at) : at + WINDOW])
-                    whole = at + WINDOW >= len(text)
-                    words = words if whole else words[:-1]  # the last one may be cut
-                    ids, _, _ = _ids(words, known)
-                    ids = ids if whole else ids[:-1]
-                    if at <= 0:
-                        a, b = _contexts(ids, known.n_ids)
-                    else:  # the first one may be cut, and the next two have no whole context
-                        a, b, ids = ids[2:-1], ids[1:-2], ids[3:]
-                    parts.append(np.stack((a, b, ids)))
-            if not parts:
-                return None
-            a, b, w = np.concatenate(parts, axis=1).astype(np.int16)
-            return {"a": a, "b": b, "w": w}
+        def f(batch: pa.RecordBatch) -> dict:
+            return {"ids": [_ids(words_of(text), known)[0].astype(np.int16).tobytes() for text in batch.column(0).to_pylist()]}
 
         return f
 
@@ -322,18 +308,24 @@ def _shard(start, noise: np.ndarray, n_ids: int, turn: int):
         from pyspark import TaskContext
 
         model = LogBilinear.from_flat(start.value, n_ids)
-        held, seen, part = [], 0, TaskContext.get().partitionId()
+        squares = model.squares()
+        held, waiting, seen, part = [], 0, 0, TaskContext.get().partitionId()
 
         def pass_over():
-            model.train(np.concatenate(held), noise, 1000 * turn + part + seen % 997)
+            model.train(np.concatenate(held), noise, 1000 * turn + part + seen % 997, squares)
             held.clear()
 
         for batch in batches:
-            held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1))
-            seen += batch.num_rows
-            if sum(map(len, held)) > 500_000:
-                pass_over()
-        if held and seen:
+            for raw in batch.column(0):
+                ids = np.frombuffer(raw.as_buffer(), np.int16)
+                a, b = _contexts(ids, n_ids)
+                held.append(np.stack((a, b, ids), axis=1).astype(np.int16))
+                seen += len(ids)
+                waiting += len(ids)
+                if waiting > 500_000:
+                    pass_over()
+                    waiting = 0
+        if held:
             pass_over()
         yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([model.flat().tobytes()], pa.binary())], names=["n", "model"])
 

@@ -116,6 +116,19 @@ def test_base_scores_equal_brute_force_and_the_model_is_normalised(docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_every_training_token_is_an_example(docs, monkeypatch):
+    seen, save = [], lm.Scratch.save
+
+    def spy(self, df, name):
+        out = save(self, df, name)
+        if name == "examples":
+            seen.append(sum(len(r["ids"]) // 2 if "ids" in r else 1 for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(lm.Scratch, "save", spy)
+    assert seen == [] and [lm.score_texts(docs).first()["train_tokens"]] == seen
+
+
 def test_normalisers_sum_to_one_and_training_beats_the_unigram():
     g = np.random.default_rng(0)
     n = 30
