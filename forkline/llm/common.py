@@ -73,16 +73,27 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of an operator's own that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def add_columns(df: DataFrame, text_col: str, fields: list[T.StructField], make: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
-    """Append columns computed from one column, in one Arrow pass that keeps all others.
+    """Append columns computed from one column, in one Arrow pass that keeps all others; one that has the name of a new one is replaced.
 
     make() runs once per task and returns f(values) -> one list per field. Slices bound the number
     of Python objects alive at once.
     """
-    clash = {f.name for f in fields} & set(df.columns)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    out = T.StructType([*df.schema.fields, *fields])
+    new = {f.name.lower() for f in fields}
+    kept = [k for k, c in enumerate(df.columns) if c.lower() not in new]
+    out = T.StructType([*(df.schema.fields[k] for k in kept), *fields])
     at, arrow = df.columns.index(text_col), to_arrow_schema(T.StructType(fields))
     names = out.names
 
@@ -92,7 +103,7 @@ def add_columns(df: DataFrame, text_col: str, fields: list[T.StructField], make:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(lo, SLICE_ROWS)
                 made = f(part.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(v, t.type) for v, t in zip(made, arrow, strict=True))], names=names)
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), *(pa.array(v, t.type) for v, t in zip(made, arrow, strict=True))], names=names)
 
     return df.mapInArrow(run, out)
 
@@ -107,7 +118,7 @@ def flat_map(df: DataFrame, schema: T.StructType, make: Callable[[], Callable[[p
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 got = f(batch.slice(lo, SLICE_ROWS))
                 if got is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array(got[x.name], x.type) for x in arrow], schema=arrow)
+                    yield pa.RecordBatch.from_arrays([got[x.name].cast(x.type) if isinstance(got[x.name], pa.Array) else pa.array(got[x.name], x.type) for x in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -13,291 +13,210 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch, flat_map, words_of
+from .common import Scratch, flat_map
+from .words import Words, hashed, mixed
 
 #: Words in a shingle, and the least similarity in hundredths.
 SHINGLE_WORDS, PERCENT = 5, 75
-#: Sorted orders, hashes in each, and the depth from which neighbours are candidates. A pair of
+#: Sorted orders, hashes in each, and the hashes that members of a region share. A pair of
 #: similarity 0.75 shares no prefix of three hashes in any of 24 orders with a chance of 2e-6.
 TREES, DEPTH, LEAST_DEPTH = 24, 5, 3
-#: Members of a region that are all compared; larger ones go deeper, and compare sorted neighbours.
-REGION, NEIGHBOURS = 24, 2
-#: Members nearest to a large region's middle, and how many of them each member is compared with, those nearest to it.
-PIVOTS, PIVOTS_EACH = 48, 4
-#: Bits of the 128-bit sketch in which a pair may differ (similarity 0.75: 16 expected, standard deviation 3.7), and up to which it counts as surely linked.
-FAR_BITS, NEAR_BITS = 36, 6
+#: Bits of the 128-bit sketch in which a linked pair may differ: at similarity 0.75, 16 are expected, and more than 36 have a chance of 4e-7.
+FAR_BITS = 36
+#: Members of a region that are compared in pairs in the second round; those of larger regions go through the prefix filter.
+REGION = 32
+#: Rows of a region or a shingle that are compared at once.
+CHUNK = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
+LONGS = T.ArrayType(T.LongType())
 SIGNATURE = T.StructType(
     [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("n_shingles", T.LongType()),
-        T.StructField("key0", T.LongType()),
-        T.StructField("key1", T.LongType()),
-        T.StructField("sketch", T.BinaryType()),
-        T.StructField("signature", T.BinaryType()),
+        *(T.StructField(x, T.LongType()) for x in ("doc_id", "n_shingles", "key0", "key1", "s0", "s1")),
+        T.StructField("p", LONGS),
+        T.StructField("q", LONGS),
     ]
 )
-ENTRY = T.StructType([T.StructField(x, T.LongType()) for x in ("tree", "p", "q", "id", "n", "s0", "s1")])
-MEMBER = T.StructType([T.StructField(x, T.LongType()) for x in ("tree", "p", "id", "n", "s0", "s1", "component")])
+PROPOSED = T.StructType([T.StructField(x, T.LongType()) for x in ("a", "b", "far", "kind")])
 SHINGLE = T.StructType([T.StructField(x, T.LongType()) for x in ("doc_id", "key", "component", "n", "shingle")])
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def shingle_sets(words: Words, size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """For each row, the sorted 64-bit hashes of its distinct shingles; fewer words than a shingle has are one together, none are empty."""
+    h = words.hash
 
+    def rolled(k: int, lo: int, hi: int) -> np.ndarray:
+        out = np.full(max(0, hi - lo - k + 1), np.uint64(k), np.uint64)
+        for i in range(k):
+            out = (out ^ h[lo + i : lo + i + len(out)]) * _MIX
+            out ^= out >> np.uint64(29)
+        return mixed(out)
 
-class WordHashes(dict):
-    """64-bit hash of each word; emptied when it holds half a million."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-def shingle_set(words: list[bytes], hashes: WordHashes, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; fewer words than a shingle has are one together, none are empty."""
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    k = min(size, n)
-    out = np.full(n - k + 1, np.uint64(k), np.uint64)
-    for i in range(k):
-        out = (out ^ h[i : n - k + 1 + i]) * _MIX
-        out ^= out >> np.uint64(29)
-    return np.unique(_mixed(out))
+    whole = rolled(size, 0, len(h))
+    for lo, hi in zip(words.row[:-1].tolist(), words.row[1:].tolist(), strict=True):
+        n = hi - lo
+        yield np.unique(whole[lo : hi - size + 1]) if n >= size else rolled(n, lo, hi) if n else np.empty(0, np.uint64)
 
 
 @functools.cache
 def _functions() -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(20_240_601)
     n = TREES * DEPTH
-    return r.integers(1, 2**63, n, np.uint64) * np.uint64(2) + np.uint64(1), r.integers(0, 2**63, n, np.uint64)
+    return (r.integers(0, 2**31, n, np.uint32) * np.uint32(2) + np.uint32(1))[:, None], r.integers(0, 2**32, n, np.uint32)[:, None]
 
 
 def signature_of(shingles: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over the set, as 32 bits."""
     a, b = _functions()
-    low = np.full(len(a), ~np.uint64(0))
-    for lo in range(0, len(shingles), 512):
-        np.minimum(low, (shingles[lo : lo + 512, None] * a + b).min(axis=0), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    x = (shingles >> np.uint64(32)).astype(np.uint32)
+    low = np.full(len(a), 2**32 - 1, np.uint32)
+    for lo in range(0, len(x), 512):
+        value = a * x[lo : lo + 512]
+        value += b
+        np.minimum(low, value.min(axis=1), out=low)
+    return low
 
 
-def sketch_of(signature: np.ndarray) -> bytes:
-    """One mixed bit of each of the values, 128 with eight repeated functions' second bits."""
-    m = _mixed(signature.astype(np.uint64) * _MIX + np.arange(len(signature), dtype=np.uint64))
-    bits = np.concatenate((m & np.uint64(1), (m[: 128 - len(m)] >> np.uint64(1)) & np.uint64(1))).astype(np.uint8)
-    return np.packbits(bits).tobytes()
+def sketches_of(signatures: np.ndarray) -> np.ndarray:
+    """Rows of two 64-bit numbers: one mixed bit of each value, 128 with eight values' second bits."""
+    n = signatures.shape[1]
+    m = mixed(signatures.astype(np.uint64) * _MIX + np.arange(n, dtype=np.uint64))
+    bits = np.concatenate((m & np.uint64(1), (m[:, : 128 - n] >> np.uint64(1)) & np.uint64(1)), axis=1).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(np.int64)
 
 
 def _signatures():
-    hashes = WordHashes()
-
     def f(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {x: [] for x in SIGNATURE.names}
-        out["doc_id"] = batch.column(0).to_pylist()
-        for text in batch.column(1).to_pylist():
-            s = shingle_set(words_of(text), hashes)
-            key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-            out["n_shingles"].append(len(s))
-            out["key0"].append(int.from_bytes(key[:8], "little", signed=True))
-            out["key1"].append(int.from_bytes(key[8:], "little", signed=True))
-            sig = signature_of(s) if len(s) else None
-            out["sketch"].append(None if sig is None else sketch_of(sig))
-            out["signature"].append(None if sig is None else sig.tobytes())
-        return out
-
-    return f
-
-
-def _entries():
-    def f(batch: pa.RecordBatch) -> dict:
-        n = batch.num_rows
-        sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(n, TREES, DEPTH).astype(np.int64)
-        sketch = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64).reshape(n, 2)
+        sets = list(shingle_sets(hashed(batch.column(1))))
+        n = np.fromiter(map(len, sets), np.int64, len(sets))
+        keys = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+        sig = np.stack([signature_of(s) for s in sets])
+        sketch, sig = sketches_of(sig), sig.reshape(len(sets), TREES, DEPTH).astype(np.int64)
         p = (sig[:, :, 0] & 0xFFFFF) << 40 | (sig[:, :, 1] & 0xFFFFF) << 20 | (sig[:, :, 2] & 0xFFFFF)
         q = (sig[:, :, 3] & 0x7FFFFFFF) << 32 | sig[:, :, 4]
-        each = lambda c: np.repeat(c, TREES)
-        ids, sizes = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-        return {"tree": np.tile(np.arange(TREES), n), "p": p.ravel(), "q": q.ravel(), "id": each(ids), "n": each(sizes), "s0": each(sketch[:, 0]), "s1": each(sketch[:, 1])}
+        lists = lambda x: pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * TREES, x.ravel())
+        return {"doc_id": batch.column(0), "n_shingles": n, "key0": keys[:, 0], "key1": keys[:, 1], "s0": sketch[:, 0], "s1": sketch[:, 1], "p": lists(p), "q": lists(q)}
 
     return f
 
 
-def _members():
-    """Entries of the second round: with the component so far, without the deeper hashes."""
-    entries = _entries()
+# ---- the first round: a few near partners of each member of a region -----------------------------
 
-    def f(batch: pa.RecordBatch) -> dict:
-        out = entries(batch)
-        out.pop("q")
-        return out | {"component": np.repeat(batch.column(4).to_numpy(zero_copy_only=False), TREES)}
 
-    return f
+def differing(s: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which sketches i and j differ."""
+    s = s.view(np.uint64)  # bits of a negative number would be counted without its sign
+    return np.bitwise_count(s[i, 0] ^ s[j, 0]).astype(np.int64) + np.bitwise_count(s[i, 1] ^ s[j, 1])
 
 
-def pivots_of(sketches: list[int]) -> list[list[int]]:
-    """For each member, the PIVOTS_EACH nearest of those PIVOTS members whose sketches are nearest to the majority of each bit."""
-    raw = np.frombuffer(b"".join(s.to_bytes(16, "big") for s in sketches), np.uint8).reshape(-1, 16)
-    bits = np.unpackbits(raw, axis=1).astype(np.float32)
-    centre = (bits.mean(axis=0) > 0.5).astype(np.float32)
-    chosen = np.argsort(np.abs(bits - centre).sum(axis=1), kind="stable")[:PIVOTS]
-    far = bits.sum(axis=1)[:, None] + bits[chosen].sum(axis=1) - 2 * bits @ bits[chosen].T
-    far[chosen, np.arange(len(chosen))] = 129
-    return chosen[np.argsort(far, axis=1, kind="stable")[:, :PIVOTS_EACH]].tolist()
+def fitting(n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether two sizes allow the least similarity."""
+    return 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
 
 
-def region_pairs(q: list[int], ids: list[int], sizes: list[int], sketches: list[int]) -> Iterator[tuple[int, int]]:
-    """Candidates in one region: members whose signatures share LEAST_DEPTH hashes, sorted by the deeper ones.
+def middles(s: np.ndarray, first: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For each row, the row of its region whose sketch is nearest to the majority of each bit. first: where regions start; of: each row's region."""
+    bits = np.unpackbits(np.ascontiguousarray(s).view(np.uint8), axis=1)
+    n = np.diff(first, append=len(s))
+    centre = 2 * np.add.reduceat(bits, first, axis=0, dtype=np.int32) > n[:, None]
+    far = (bits != centre[of]).sum(axis=1)
+    return np.minimum.reduceat(far * len(s) + np.arange(len(s)), first)[of] % len(s)
 
-    Small regions compare all members. Larger ones compare each member with those that follow it in sorted order, with a
-    few members in the region's middle (copies of one text link with what is nearest to it), and all members
-    of each sub-region of one more, then two more common hashes that is small. A
-    pair is left out where sizes or sketches rule it out, or where surely linked pairs join it already.
-    """
-    n = len(ids)
-    top = list(range(n))
-
-    def root(i: int) -> int:
-        while top[i] != i:
-            top[i] = top[top[i]]
-            i = top[i]
-        return i
-
-    def tried(i: int, j: int) -> bool:
-        if ids[i] == ids[j] or 100 * min(sizes[i], sizes[j]) < PERCENT * max(sizes[i], sizes[j]) or (ri := root(i)) == (rj := root(j)):
-            return False
-        far = (sketches[i] ^ sketches[j]).bit_count()
-        if far <= NEAR_BITS:
-            top[rj] = ri
-        return far <= FAR_BITS
-
-    def every(lo: int, hi: int) -> Iterator[tuple[int, int]]:
-        for j in range(lo + 1, hi):
-            for i in range(lo, j):
-                if tried(i, j):
-                    yield (ids[i], ids[j])
-
-    if n <= REGION:
-        yield from every(0, n)
-        return
-    for i in range(n):
-        for j in range(i + 1, min(n, i + 1 + NEIGHBOURS)):
-            if tried(i, j):
-                yield (ids[i], ids[j])
-    for i, near in enumerate(pivots_of(sketches)):
-        for j in near:
-            if tried(i, j):
-                yield (ids[i], ids[j])
-    for shift in (32, 0):
-        lo = 0
-        for i in range(1, n + 1):
-            if i == n or q[i] >> shift != q[lo] >> shift:
-                if 2 < i - lo <= REGION:
-                    yield from every(lo, i)
-                lo = i
-
-
-#: Members of a region held at once; a larger region is taken in runs of so many sorted members.
-RUN = 20_000
-
-
-def _forest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = to_arrow_schema(PAIR)
-    held: list[list] = [[], [], [], []]
-    at = None
-
-    def made() -> Iterator[pa.RecordBatch]:
-        if len(held[0]) > 1:
-            found = sorted({(a, b) if a < b else (b, a) for a, b in region_pairs(*held)})
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=schema)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        tree, p, q, ids, sizes, s0, s1 = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        cuts = np.flatnonzero((np.diff(tree) != 0) | (np.diff(p) != 0)) + 1
-        sketch = [(int(x) & (2**64 - 1)) << 64 | (int(y) & (2**64 - 1)) for x, y in zip(s0.tolist(), s1.tolist(), strict=True)]
-        columns = [q.tolist(), ids.tolist(), sizes.tolist(), sketch]
-        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
-            here = (tree[lo], p[lo])
-            if here != at or len(held[0]) > RUN:
-                yield from made()
-                held, at = [[], [], [], []], here
-            for h, c in zip(held, columns, strict=True):
-                h.extend(c[lo:hi])
-    yield from made()
-
-
-#: Members compared with all others at once in the second round, and rows that a task holds before they leave it.
-BLOCK, HELD_ROWS = 256, 100_000
-
-
-def open_members(ids: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, components: np.ndarray) -> np.ndarray:
-    """Which of a region's members have another in it, in a different component, that sizes and sketches don't rule out."""
-    n = len(ids)
-    found = np.zeros(n, bool)
-    if (components == components[:1]).all():
-        return found
-    for lo in range(0, n, BLOCK):
-        here = slice(lo, lo + BLOCK)
-        for at in range(0, n, 16 * BLOCK):
-            there = slice(at, at + 16 * BLOCK)
-            fit = 100 * np.minimum(sizes[here, None], sizes[there]) >= PERCENT * np.maximum(sizes[here, None], sizes[there])
-            fit &= components[here, None] != components[there]
-            far = np.bitwise_count(sketches[here, None, 0] ^ sketches[there, 0]) + np.bitwise_count(sketches[here, None, 1] ^ sketches[there, 1])
-            found[here] |= (fit & (far <= FAR_BITS)).any(axis=1)
-    return found
+def proposed(tree: np.ndarray, p: np.ndarray, ids: np.ndarray, n: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(a, b, far, kind) of sorted entries: a member and the one after it in its order, both ways (kind 0), and a member and its region's middle (kind 1)."""
+    new = np.ones(len(ids), bool)
+    new[1:] = (np.diff(tree) != 0) | (np.diff(p) != 0)
+    first = np.flatnonzero(new)
+    size = np.diff(first, append=len(ids))
+    keep = np.repeat(size > 1, size)
+    if not keep.any():
+        return tuple(np.empty((4, 0), np.int64))
+    ids, n, s, new = ids[keep], n[keep], s[keep], new[keep]
+    first, of = np.flatnonzero(new), np.cumsum(new) - 1
+    j = np.flatnonzero(~new)
+    i, middle = j - 1, middles(s, first, of)
+    every = np.arange(len(ids))
+    a, b = np.concatenate((i, j, every)), np.concatenate((j, i, middle))
+    kind = np.repeat([0, 0, 1], [len(j), len(j), len(every)])
+    far = differing(s, a, b)
+    good = (ids[a] != ids[b]) & fitting(n, a, b) & (far <= FAR_BITS)
+    return ids[a[good]], ids[b[good]], far[good], kind[good]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """The other columns of one group after the other, whole, from rows sorted by their first columns, the keys."""
-    held: list[list[np.ndarray]] = []
-    at = None
+def _long_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.ndarray]]:
+    """Columns of about so many rows at a time."""
+    held, n = [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        new = functools.reduce(np.logical_or, (np.diff(c) != 0 for c in columns[:keys]))
-        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
-            here = tuple(c[lo] for c in columns[:keys])
-            if here != at and held:
-                yield [np.concatenate(c) for c in zip(*held, strict=True)]
-                held = []
-            at = here
-            held.append([c[lo:hi] for c in columns[keys:]])
+        if batch.num_rows:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            n += batch.num_rows
+        if n >= rows:
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            held, n = [], 0
     if held:
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
-def _open_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, sizes, s0, s1, components in _groups(batches, 2):
-        found = np.unique(ids[open_members(ids, sizes, np.stack((s0, s1), axis=1).view(np.uint64), components)])
-        if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["doc_id"])
+def _proposals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = to_arrow_schema(PROPOSED)
+    for tree, p, ids, n, s0, s1 in _long_batches(batches, 50_000):
+        found = proposed(tree, p, ids, n, np.stack((s0, s1), axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
 
 
-def _shingle_rows():
-    hashes = WordHashes()
+# ---- the second round: what regions hold of several components ------------------------------------
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """The other columns of several whole groups at a time, after numbers of their groups, from rows sorted by their first columns, the keys."""
+    rest: list[np.ndarray] | None = None
+    for columns in _long_batches(batches, 20_000):
+        if rest is not None:
+            columns = [np.concatenate(c) for c in zip(rest, columns, strict=True)]
+        new = np.flatnonzero(functools.reduce(np.logical_or, (np.diff(c) != 0 for c in columns[:keys]))) + 1
+        if not len(new):
+            rest = columns
+            continue
+        rest = [c[new[-1] :] for c in columns]
+        columns = [c[: new[-1]] for c in columns]
+        of = np.zeros(new[-1], np.int64)
+        of[new[:-1]] = 1
+        yield [np.cumsum(of), *columns[keys:]]
+    if rest is not None:
+        new = functools.reduce(np.logical_or, (np.diff(c, prepend=c[:1]) != 0 for c in rest[:keys]))
+        yield [np.cumsum(new), *rest[keys:]]
+
+
+def _sent(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    found = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], schema=to_arrow_schema(PAIR))
+
+
+def _region_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of members of small regions that are in different components and that sizes and sketches don't rule out."""
+    for of, ids, n, s0, s1, component in _groups(batches, 2):
+        s, found = np.stack((s0, s1), axis=1), []
+        for shift in range(1, min(REGION, len(ids))):
+            i = np.flatnonzero((of[shift:] == of[:-shift]) & (component[shift:] != component[:-shift]))
+            if not len(i) and not (of[shift:] == of[:-shift]).any():
+                break
+            j = i + shift
+            good = fitting(n, i, j) & (differing(s, i, j) <= FAR_BITS) & (ids[i] != ids[j])
+            found.append((ids[i[good]], ids[j[good]]))
+        if found:
+            yield _sent(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
 
+def _shingle_rows():
     def f(batch: pa.RecordBatch) -> dict:
-        out: list[list[np.ndarray]] = [[], [], [], [], []]
-        for i, text, component in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            s = shingle_set(words_of(text), hashes)
-            key = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
-            for c, v in zip(out, (i, key, component, len(s)), strict=False):
-                c.append(np.full(len(s), v, np.int64))
-            out[4].append(s.view(np.int64))
-        return dict(zip(SHINGLE.names, map(np.concatenate, out), strict=True))
+        sets = list(shingle_sets(hashed(batch.column(1))))
+        n = np.fromiter(map(len, sets), np.int64, len(sets))
+        keys = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=8).digest() for s in sets), np.int64)
+        each = lambda c: np.repeat(c, n)
+        of = lambda k: batch.column(k).to_numpy(zero_copy_only=False)
+        return {"doc_id": each(of(0)), "key": each(keys), "component": each(of(2)), "n": each(n), "shingle": np.concatenate(sets).view(np.int64)}
 
     return f
 
@@ -305,51 +224,62 @@ def _shingle_rows():
 def _prefix_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs in different components that share a shingle and can still be linked if it is the first that they share.
 
-    The sets are ordered alike; at is a shingle's place from 1, so what two sets share from there on is bounded.
+    The sets are ordered alike; at is a shingle's place from 1, so what two sets share from there on is bounded. Rows of
+    the shingle's main component are in one block of it each, all others in every block; pairs of these are made in block 0.
     """
-    schema = to_arrow_schema(PAIR)
-    held: list[np.ndarray] = []
-
-    def out() -> pa.RecordBatch:
-        found = np.unique(np.concatenate(held), axis=0)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=schema)
-
-    for ids, components, n, at in _groups(batches, 1):
-        for lo in range(0, len(ids), BLOCK):
-            here = slice(lo, lo + BLOCK)
-            for start in range(lo, len(ids), 16 * BLOCK):
-                there = slice(start, start + 16 * BLOCK)
-                both = 1 + np.minimum(n[here, None] - at[here, None], n[there] - at[there])
-                keep = (100 + PERCENT) * both >= PERCENT * (n[here, None] + n[there])
-                keep &= (components[here, None] != components[there]) & (ids[here, None] != ids[there])
-                i, j = np.nonzero(keep)
-                if len(i):
-                    a, b = ids[here][i], ids[there][j]
-                    held.append(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1))
-                    if sum(map(len, held)) > HELD_ROWS:
-                        yield out()
-    if held:
-        yield out()
-
-
-def open_links(source: DataFrame, reps: DataFrame, so_far: DataFrame, scratch: Scratch, parts: int) -> DataFrame:
+    for of, block, ids, component, n, at, other in _groups(batches, 2):
+        found, count = [], 0
+        for lo, hi in zip(starts := np.flatnonzero(np.diff(of, prepend=-1)), [*starts[1:], len(of)], strict=True):
+            out = lo + np.flatnonzero(other[lo:hi] == 1)
+            every = np.arange(lo, hi) if block[lo] == 0 else lo + np.flatnonzero(other[lo:hi] == 0)
+            for k in range(0, len(out), 256):
+                i = out[k : k + 256, None]
+                for m in range(0, len(every), CHUNK):
+                    j = every[None, m : m + CHUNK]
+                    both = 1 + np.minimum(n[i] - at[i], n[j] - at[j])
+                    keep = ((100 + PERCENT) * both >= PERCENT * (n[i] + n[j])) & (component[i] != component[j]) & (ids[i] != ids[j])
+                    x, y = np.nonzero(keep)
+                    if len(x):
+                        found.append((ids[i[x, 0]], ids[j[0, y]]))
+                        count += len(x)
+            if count > 100_000:
+                yield _sent(*(np.concatenate(c) for c in zip(*found, strict=True)))
+                found, count = [], 0
+        if found:
+            yield _sent(*(np.concatenate(c) for c in zip(*found, strict=True)))
+
+
+def open_pairs(source: DataFrame, entries: DataFrame, so_far: DataFrame, scratch: Scratch, parts: int) -> DataFrame:
     """Candidates (a, b) among all members of a region that are still in different components, in regions of any size.
 
-    Members that sketches rule out against all others are left aside. Among the rest, each set is sorted by how many of them have
-    a shingle; linked sets share one of their first 25 % and one, so only those are grouped, and no linked pair is lost.
+    Regions of one component, which most are by now, are left aside by a pre-aggregated minimum and maximum. Of the others, those
+    of up to REGION members give all their pairs that sizes and sketches don't rule out. Members of larger ones go through an
+    exact prefix filter: each set is sorted by how many of them have a shingle; linked sets share one of their first 25 % and
+    one, so only those are grouped, and no linked pair is lost. A shingle that very many have is dealt in blocks.
     """
-    members = reps.join(so_far.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", "sketch", "signature", F.coalesce("component", "doc_id").alias("component"))
-    members = flat_map(members, MEMBER, _members).repartition(parts, "tree", "p").sortWithinPartitions("tree", "p")
-    ids = scratch.save(members.mapInArrow(_open_ids, "doc_id long").distinct(), "open")
-    ids = ids.join(so_far.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = entries.drop("q").join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = scratch.save(placed, "placed")
+    regions = placed.groupBy("tree", "p").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo != hi").select("tree", "p", "members")
+    regions = scratch.save(regions, "regions")
+    small = placed.join(regions.where(F.col("members") <= REGION).drop("members").hint("merge"), ["tree", "p"], "left_semi")
+    small = small.select("tree", "p", "id", "n", "s0", "s1", "component").repartition(parts, "tree", "p").sortWithinPartitions("tree", "p")
+    direct = small.mapInArrow(_region_pairs, PAIR)
+    large = placed.join(regions.where(F.col("members") > REGION).drop("members").hint("merge"), ["tree", "p"], "left_semi")
+    ids = scratch.save(large.select(F.col("id").alias("doc_id"), "component").distinct(), "open")
     texts = source.join(ids.hint("merge"), "doc_id").select("doc_id", "text", "component")
     rows = scratch.save(flat_map(texts, SHINGLE, _shingle_rows).distinct(), "shingles")
     often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("doc_id", "key").orderBy("often", "shingle")
     first = rows.join(often, "shingle").withColumn("at", F.row_number().over(order).cast("long")).where(f"100 * (at - 1) <= {100 - PERCENT} * n")
-    grouped = first.select("shingle", "doc_id", "component", "n", "at").repartition(parts, "shingle").sortWithinPartitions("shingle")
-    return grouped.mapInArrow(_prefix_pairs, PAIR).distinct()
+    first = scratch.save(first.select("shingle", "doc_id", "component", "n", "at"), "first")
+    each = first.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c"))
+    shared = each.groupBy("shingle").agg(F.max(F.struct("c", "component"))["component"].alias("main"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    shared = scratch.save(shared.select("shingle", "main", F.ceil(F.col("c") / CHUNK).alias("blocks")), "shared")
+    other = F.col("component") != F.col("main")
+    blocks = F.when(other, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), "blocks")))
+    dealt = first.join(shared.hint("merge"), "shingle").select("shingle", F.explode(blocks).alias("block"), "doc_id", "component", "n", "at", other.cast("long").alias("other"))
+    dealt = dealt.repartition(parts, "shingle", "block").sortWithinPartitions("shingle", "block").select("shingle", "block", F.col("block").alias("in_block"), "doc_id", "component", "n", "at", "other")
+    return direct.union(dealt.mapInArrow(_prefix_pairs, PAIR)).distinct()
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -359,19 +289,15 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _confirm():
-    hashes = WordHashes()
     sets: dict[str, np.ndarray] = {}  # by text, as rows that repeat an id can have several
 
-    def of(text: str) -> np.ndarray:
-        if text not in sets:
-            if len(sets) > 500:
-                sets.clear()
-            sets[text] = shingle_set(words_of(text), hashes)
-        return sets[text]
-
     def f(batch: pa.RecordBatch) -> dict:
         a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-        keep = [i for i in range(len(a)) if linked(of(ta[i]), of(tb[i]))]
+        if len(sets) > 2000:
+            sets.clear()
+        new = list(dict.fromkeys(t for t in (*ta, *tb) if t not in sets))
+        sets.update(zip(new, shingle_sets(hashed(pa.array(new, pa.large_string()))), strict=True))
+        keep = [i for i in range(len(a)) if linked(sets[ta[i]], sets[tb[i]])]
         return {"a": [a[i] for i in keep], "b": [b[i] for i in keep]}
 
     return f
@@ -414,8 +340,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows with equal sets form a class, so copies are never paired; one representative of each class enters
     the forest. Its entries are sorted by ranges of (order, signature, id), so one huge region is dealt over many
-    tasks. What that leaves out of large regions is compared in a second round: all members of a region that confirmed
-    links haven't joined yet. Confirmation reads full texts of candidates only. A null, empty or blank text has an empty set and is
+    tasks. The first round confirms at most two partners of each member, the nearest of its neighbours in any order and the
+    nearest middle of a region, so its pairs grow with the members, however large a region is. The second round takes all members
+    of a region that confirmed links haven't joined yet, so the result depends neither on the first round's choice nor on
+    partitions. Every link is confirmed on full texts, which are read for candidates only. A null, empty or blank text has an empty set and is
     linked with nothing; rows that repeat an id are one node; a null id is its own component, null, and
     kept; an empty table gives no rows. Other columns are not read.
     """
@@ -427,10 +355,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     usable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = scratch.save(narrow.where(usable).groupBy("key0", "key1").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = rows.where(usable).join(classes.select(F.col("rep").alias("doc_id"), "key0", "key1"), ["doc_id", "key0", "key1"], "left_semi")
-    entries = flat_map(reps.select("doc_id", "n_shingles", "sketch", "signature"), ENTRY, _entries)
-    order = ["tree", "p", "q", "id"]
+    entries = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s0", "s1", F.posexplode(F.arrays_zip("p", "q")).alias("tree", "__pq")).select(F.col("tree").cast("long"), "__pq.p", "__pq.q", "id", "n", "s0", "s1")
+    entries = scratch.save(entries, "entries")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    pairs = scratch.save(entries.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_forest_pairs, PAIR).distinct(), "pairs")
+    order = ["tree", "p", "q", "id"]
+    near = entries.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("q").mapInArrow(_proposals, PROPOSED)
+    near = near.groupBy("a", "kind").agg(F.min(F.struct("far", "b"))["b"].alias("b"))
+    pairs = scratch.save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     confirmed = confirm(source, pairs, scratch, "texts")
     # Rows that repeat an id with other texts belong to several classes; those are linked through their id.
     owned = narrow.where(usable).join(classes, ["key0", "key1"]).select("doc_id", "rep")
@@ -439,9 +370,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch.save(confirmed.union(same_id), "links")
     scratch.drop("texts")
     so_far = components(links, scratch, "first")
-    rest = scratch.save(open_links(source, reps, so_far, scratch, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = scratch.save(open_pairs(source, entries, so_far, scratch, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
+    scratch.drop("pairs", "entries", "placed", "regions", "open", "shingles", "first", "shared")
     all_links = scratch.save(links.union(confirm(source, rest, scratch, "rest_texts")), "all_links")
-    scratch.drop("pairs", "open", "shingles", "rest", "rest_texts", "links")
+    scratch.drop("rest", "rest_texts", "links")
     of_rep = components(all_links, scratch, "last")
     of_class = classes.join(of_rep.withColumnRenamed("id", "rep"), "rep", "left").select("key0", "key1", F.coalesce("component", "rep").alias("component"))
     out = narrow.join(of_class.where("key0 is not null"), ["key0", "key1"], "left")

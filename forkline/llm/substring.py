@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, add_columns, flat_map
-from .minhash import WordHashes, _mixed
+from .common import Scratch, add_columns, flat_map, unused
+from .words import Words, hashed, mixed
 
 #: Sentences in a run at least, and its words at least; a run is the shortest from its first sentence that has both.
 RUN_SENTENCES, RUN_WORDS = 3, 15
@@ -20,78 +22,78 @@ RUN_SENTENCES, RUN_WORDS = 3, 15
 LONG_SENTENCE, CUT_EVERY = 16, 5
 #: What is still long then, as one word over and over, is cut after so many words.
 PIECE = 12
-ENDS = (b".", b"!", b"?")
-_STEP = 0x9E3779B97F4A7C15
+ENDS = np.isin(np.arange(256), list(b".!?"))
+_STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def sentences_of(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the word at which each sentence starts, with the number of words last.
+def sentences_of(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each row, hashes of all words, and the word at which each sentence starts, with the number of words last.
 
     A sentence ends with a word that ends in . ! or ?, with a line, or at a cut.
     """
-    if not text:
-        return np.empty(0, np.uint64), np.zeros(1, np.int64)
-    starts, words = [], []
-    for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n"):
-        new = line.split()
-        if new:
-            starts.append(len(words))
-            words += new
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64), np.zeros(1, np.int64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    start = np.zeros(n + 1, bool)
-    start[starts] = True
-    start[1:] |= np.fromiter((w.endswith(ENDS) for w in words), bool, n)
-    start[n] = True
-    at = np.flatnonzero(start)
-    long = np.repeat(np.diff(at) > LONG_SENTENCE, np.diff(at))
-    start[1:] |= long & ((h >> np.uint64(20)) % np.uint64(CUT_EVERY) == 0)
-    at = np.flatnonzero(start)
-    for i in np.flatnonzero(np.diff(at) > LONG_SENTENCE):
-        start[at[i] : at[i + 1] : PIECE] = True
-    return h, np.flatnonzero(start)
-
-
-def runs_of(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first sentence, sentence after the last) of each run; the last sentences of a text start none."""
+    lines = np.searchsorted(np.flatnonzero(words.data == 10), words.start)
+    opens = np.ones(len(lines), bool)
+    opens[1:] = (np.diff(lines) != 0) | ENDS[words.data[words.end[:-1] - 1]]
+    for lo, hi in zip(words.row[:-1].tolist(), words.row[1:].tolist(), strict=True):
+        n, h = hi - lo, words.hash[lo:hi]
+        start = np.ones(n + 1, bool)
+        start[1:n] = opens[lo + 1 : hi]
+        at = np.flatnonzero(start) if n else np.zeros(1, np.int64)
+        if n and (np.diff(at) > LONG_SENTENCE).any():
+            long = np.repeat(np.diff(at) > LONG_SENTENCE, np.diff(at))
+            start[1:] |= long & ((h >> np.uint64(20)) % np.uint64(CUT_EVERY) == 0)
+            at = np.flatnonzero(start)
+            for i in np.flatnonzero(np.diff(at) > LONG_SENTENCE):
+                start[at[i] : at[i + 1] : PIECE] = True
+            at = np.flatnonzero(start)
+        yield h, at
+
+
+@functools.lru_cache(maxsize=4)
+def _powers(step: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a step and of its inverse modulo 2**64."""
+    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64))), dtype=np.uint64) for b in (step, pow(step, -1, 2**64)))
+
+
+def runs_of(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, 32 further bits, first sentence, sentence after the last) of each run; the last sentences of a text start none."""
     n = len(at) - 1
     first = np.arange(n)
     after = np.maximum(first + RUN_SENTENCES, np.searchsorted(at, at[:-1] + RUN_WORDS))
     ok = after <= n
     first, after = first[ok], after[ok]
     if not len(first):
-        return np.empty(0, np.int64), first, after
-    # A polynomial hash: differences of prefix sums, brought to one place by powers of the step's inverse.
-    powers, inverse = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(h), b, np.uint64))), dtype=np.uint64) for b in (_STEP, pow(_STEP, -1, 2**64)))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * powers[:-1], dtype=np.uint64)))
-    lo, hi = at[first], at[after]
-    value = (sums[hi] - sums[lo]) * inverse[lo]
-    return _mixed(value ^ ((hi - lo).astype(np.uint64) << np.uint64(48))).view(np.int64), first, after
+        return np.empty(0, np.int64), np.empty(0, np.int32), first, after
+    # Polynomial hashes: differences of prefix sums, brought to one place by powers of the step's inverse.
+    lo, hi, values = at[first], at[after], []
+    for step, words in zip(_STEPS, (h, mixed(h)), strict=True):
+        powers, inverse = _powers(step, 1 << max(10, len(h).bit_length()))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * powers[: len(h)], dtype=np.uint64)))
+        values.append(mixed((sums[hi] - sums[lo]) * inverse[lo] ^ ((hi - lo).astype(np.uint64) << np.uint64(48))))
+    return values[0].view(np.int64), (values[1] >> np.uint64(32)).astype(np.uint32).view(np.int32), first, after
 
 
-RUN = T.StructType([T.StructField("run", T.LongType()), T.StructField("doc", T.LongType())])
+RUN = T.StructType([T.StructField("run", T.LongType()), T.StructField("more", T.IntegerType()), T.StructField("doc", T.LongType())])
 
 
 def _runs():
-    hashes = WordHashes()
-
     def f(batch: pa.RecordBatch) -> dict:
-        parts, docs = [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = np.unique(runs_of(*sentences_of(text, hashes))[0])
-            parts.append(own)
-            docs.append(np.full(len(own), doc, np.int64))
-        return {"run": np.concatenate(parts), "doc": np.concatenate(docs)} if parts else None
+        parts, more, sizes = [], [], []
+        for h, at in sentences_of(hashed(batch.column(1))):
+            run, rest, _, _ = runs_of(h, at)
+            run, place = np.unique(run, return_index=True)
+            parts.append(run)
+            more.append(rest[place])
+            sizes.append(len(run))
+        return {"run": np.concatenate(parts), "more": np.concatenate(more), "doc": np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)}
 
     return f
 
 
 def removed_sentences(h: np.ndarray, at: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
     """Flags of the sentences that a non-first run covers: one that a smaller id has first, or that this text repeats."""
-    run, first, after = runs_of(h, at)
+    run, _, first, after = runs_of(h, at)
     covered = np.zeros(len(at), np.int64)
     if len(run):
         again = np.ones(len(run), bool)
@@ -111,11 +113,7 @@ FIELDS = [
 
 
 def _cleaned():
-    hashes = WordHashes()
-
-    def one(pair: dict) -> tuple:
-        text, elsewhere = pair["text"], np.array(pair["runs"] or [], np.int64)
-        h, at = sentences_of(text, hashes)
+    def one(text: str | None, elsewhere: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple:
         gone = removed_sentences(h, at, elsewhere)
         if not gone.any():
             return len(gone), 0, [], text
@@ -134,29 +132,40 @@ def _cleaned():
             place = hi
         return len(gone), int(gone.sum()), [{"start": a, "end": b} for a, b in spans], "".join([*kept, text[place:]])
 
-    return lambda values: [list(x) for x in zip(*map(one, values), strict=True)]
+    def f(values: list) -> list[list]:
+        texts = [v["text"] for v in values]
+        made = zip(texts, values, sentences_of(hashed(pa.array(texts, pa.large_string()))), strict=True)
+        rows = [one(text, np.array(v["runs"] or [], np.int64), h, at) for text, v, (h, at) in made]
+        return [list(x) for x in zip(*rows, strict=True)]
+
+    return f
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Append n_sentences, n_removed, removed (spans in code points), clean_text and first_docs.
 
     Of a run of sentences that occurs more than once, the first (by id, then by place) stays; sentences that
-    any other covers are removed. first_docs are the ids whose text this one repeats. A null, empty or blank
+    any other covers are removed. A run is known by 96 bits of hash. Texts of fewer than RUN_SENTENCES sentences or RUN_WORDS
+    words have no run, so even whole copies of them stay. first_docs are the ids whose text this one repeats. A null, empty or blank
     text has no sentences and stays as it is; rows without an id are cleaned of their own repeats alone;
-    rows that repeat an id count as one text, and repeats among them stay. Minima are pre-aggregated, so
+    rows that repeat an id count as one text, and repeats among them stay; an empty table gives no rows. A column of the input
+    that has the name of an added one is replaced. Minima are pre-aggregated, so
     a run that a third of the texts hold is one row a task; the join back is one that adaptive execution splits.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "substring")
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     runs = scratch.save(flat_map(source.where(F.col("doc").isNotNull()), RUN, _runs), "runs")
-    firsts = scratch.save(runs.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select("run", "first"), "firsts")
-    later = runs.hint("merge").join(firsts, "run").where("doc != first")
-    per_doc = later.groupBy("doc").agg(F.collect_set("run").alias("runs"), F.sort_array(F.collect_set("first")).alias("first_docs")).withColumnRenamed("doc", "__doc")
-    marked = docs.withColumn("__key", F.col(id_col).cast("long")).join(per_doc.hint("merge"), F.col("__key") == F.col("__doc"), "left")
-    marked = marked.withColumn("__both", F.struct(F.col(text_col).cast("string").alias("text"), F.col("runs")))
-    out = add_columns(marked, "__both", FIELDS, _cleaned)
-    return out.select(*docs.columns, *(f.name for f in FIELDS), F.coalesce("first_docs", F.array().cast("array<long>")).alias("first_docs"))
+    key = ["run", "more"]
+    firsts = scratch.save(runs.groupBy(*key).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select(*key, "first"), "firsts")
+    later = runs.hint("merge").join(firsts, key).where("doc != first")
+    added = [f.name for f in FIELDS] + ["first_docs"]
+    doc, own_id, found, both = unused(docs, "doc", "id", "found", "both")
+    per_doc = later.groupBy(F.col("doc").alias(doc)).agg(F.struct(F.collect_set("run").alias("runs"), F.sort_array(F.collect_set("first")).alias("first_docs")).alias(found))
+    marked = docs.withColumn(own_id, F.col(id_col).cast("long")).join(per_doc.hint("merge"), F.col(own_id) == F.col(doc), "left")
+    marked = marked.withColumn(both, F.struct(F.col(text_col).cast("string").alias("text"), F.col(found)["runs"].alias("runs")))
+    out = add_columns(marked, both, FIELDS, _cleaned)
+    return out.select(*(c for c in docs.columns if c not in added), *added[:-1], F.coalesce(F.col(found)["first_docs"], F.array().cast("array<long>")).alias("first_docs"))
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
