@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Scratch, add_columns, flat_map, unused
-from .words import Words, hashed, mixed
+from .words import Words, hashed, mixed, powers
 
 #: Sentences in a run at least, and its words at least; a run is the shortest from its first sentence that has both.
 RUN_SENTENCES, RUN_WORDS = 3, 15
@@ -50,12 +49,6 @@ def sentences_of(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield h, at
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(step: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a step and of its inverse modulo 2**64."""
-    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64))), dtype=np.uint64) for b in (step, pow(step, -1, 2**64)))
-
-
 def runs_of(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, 32 further bits, first sentence, sentence after the last) of each run; the last sentences of a text start none."""
     n = len(at) - 1
@@ -68,8 +61,8 @@ def runs_of(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     # Polynomial hashes: differences of prefix sums, brought to one place by powers of the step's inverse.
     lo, hi, values = at[first], at[after], []
     for step, words in zip(_STEPS, (h, mixed(h)), strict=True):
-        powers, inverse = _powers(step, 1 << max(10, len(h).bit_length()))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * powers[: len(h)], dtype=np.uint64)))
+        power, inverse = powers(len(h), step)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * power[: len(h)], dtype=np.uint64)))
         values.append(mixed((sums[hi] - sums[lo]) * inverse[lo] ^ ((hi - lo).astype(np.uint64) << np.uint64(48))))
     return values[0].view(np.int64), (values[1] >> np.uint64(32)).astype(np.uint32).view(np.int32), first, after
 

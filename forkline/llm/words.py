@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; a row that is longer is cut between words.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 16
 _STEP = 0xD1342543DE82EF95
 _SPACE = [9, 10, 11, 12, 13, 32]
 IS_WORD = np.ones(256, bool)
@@ -31,10 +31,15 @@ def _of_byte() -> np.ndarray:
     return out
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the step and of its inverse modulo 2**64."""
-    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, b, np.uint64))), dtype=np.uint64) for b in (_STEP, pow(_STEP, -1, 2**64)))
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(n: int, step: int = _STEP) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of a step, and of its inverse, modulo 2**64; kept, and made anew where more are asked for."""
+    if step not in _POWERS or len(_POWERS[step][0]) < n:
+        size = max(BLOCK_BYTES, 1 << n.bit_length())
+        _POWERS[step] = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64))), dtype=np.uint64) for b in (step, pow(step, -1, 2**64)))
+    return _POWERS[step]
 
 
 @dataclass
@@ -102,9 +107,9 @@ def hashed(column: pa.Array) -> Words:
         last = word.copy()
         last[:-1] &= ~word[1:] | first[1:]
         end = np.flatnonzero(last) + 1
-        powers, inverse = _powers(BLOCK_BYTES if len(block) <= BLOCK_BYTES else len(block))
+        power, inverse = powers(len(block))
         sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(_of_byte()[block] * powers[: len(block)], out=sums[1:])
+        np.cumsum(_of_byte()[block] * power[: len(block)], out=sums[1:])
         hashes.append(mixed((sums[end] - sums[start]) * inverse[start] ^ (end - start).astype(np.uint64) << np.uint64(40)))
         starts.append(start + lo)
         ends.append(end + lo)

@@ -12,11 +12,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from forkline.llm import bpe, decontaminate, gif, lm, minhash, pii, sharding, substring, toxicity, warc
 
+from forkline.llm.words import hashed
+
 from .corpus import SCHEMA, documents, prose, words
 
 ROWS = documents()
@@ -42,13 +45,17 @@ ALL_IDS = collections.Counter(r[0] for r in ROWS)
 # ---- substring dedup
 
 
-def units(text: str, hashes) -> list[list[bytes]]:
+def hash_of(word: bytes) -> int:
+    return int(hashed(pa.array([word.decode()])).hash[0])
+
+
+def units(text: str) -> list[list[bytes]]:
     out = []
     for line in (text or "").encode().lower().split(b"\n"):
         sentence, found = [], []
         for w in line.split():
             sentence.append(w)
-            if w.endswith(substring.ENDS):
+            if w.endswith((b".", b"!", b"?")):
                 found.append(sentence)
                 sentence = []
         found += [sentence] if sentence else []
@@ -56,7 +63,7 @@ def units(text: str, hashes) -> list[list[bytes]]:
             pieces = [[]]
             for w in s:
                 pieces[-1].append(w)
-                if len(s) > substring.LONG_SENTENCE and (hashes[w] >> 20) % substring.CUT_EVERY == 0:
+                if len(s) > substring.LONG_SENTENCE and (hash_of(w) >> 20) % substring.CUT_EVERY == 0:
                     pieces.append([])
             for piece in filter(None, pieces):
                 step = substring.PIECE if len(piece) > substring.LONG_SENTENCE else len(piece)
@@ -70,9 +77,9 @@ def test_substring_dedup_equals_brute_force(spark):
     rows = [(i, " ".join([prose(r, r.randint(0, 40)), r.choice(shared), prose(r, r.randint(0, 40))]) + ("\n" + shared[0] if i % 7 == 0 else "")) for i in range(40)]
     rows += [(50 + i, f"{prose(r, 20)} " + "over " * (60 + 9 * i) + prose(r, 20)) for i in range(3)]
     got = {x["doc_id"]: x for x in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    hashes, seen = minhash.WordHashes(), set()
+    seen = set()
     for i, text in rows:
-        u = units(text, hashes)
+        u = units(text)
         gone = [False] * len(u)
         for a in range(len(u)):
             b, n = a, 0
