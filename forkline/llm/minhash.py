@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -27,6 +27,8 @@ FAR_BITS = 36
 REGION = 32
 #: Rows of a region or a shingle that are compared at once.
 CHUNK = 4096
+#: Shingles whose counts every worker holds, at most (8 MB).
+HELD = 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 LONGS = T.ArrayType(T.LongType())
@@ -38,7 +40,9 @@ SIGNATURE = T.StructType(
     ]
 )
 PROPOSED = T.StructType([T.StructField(x, T.LongType()) for x in ("a", "b", "far", "kind")])
-SHINGLE = T.StructType([T.StructField(x, T.LongType()) for x in ("doc_id", "key", "component", "n", "shingle")])
+SET = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("component", T.LongType()), T.StructField("shingles", T.BinaryType())])
+SHINGLE_COUNT = T.StructType([T.StructField("shingle", T.LongType()), T.StructField("n", T.LongType())])
+PREFIX = T.StructType([T.StructField(x, T.LongType()) for x in ("shingle", "doc_id", "component", "n", "at")])
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -209,18 +213,83 @@ def _region_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _sent(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
-def _shingle_rows():
+def _sets():
     def f(batch: pa.RecordBatch) -> dict:
-        sets = list(shingle_sets(hashed(batch.column(1))))
-        n = np.fromiter(map(len, sets), np.int64, len(sets))
-        keys = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=8).digest() for s in sets), np.int64)
-        each = lambda c: np.repeat(c, n)
-        of = lambda k: batch.column(k).to_numpy(zero_copy_only=False)
-        return {"doc_id": each(of(0)), "key": each(keys), "component": each(of(2)), "n": each(n), "shingle": np.concatenate(sets).view(np.int64)}
+        return {"doc_id": batch.column(0), "component": batch.column(2), "shingles": [x.tobytes() for x in shingle_sets(hashed(batch.column(1)))]}
 
     return f
 
 
+def _set_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of a task have each shingle; partial counts leave it now and then."""
+    held, n = [], 0
+
+    def out() -> pa.RecordBatch:
+        found, count = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(count)], schema=to_arrow_schema(SHINGLE_COUNT))
+
+    for batch in batches:
+        for raw in batch.column(0):
+            held.append(np.frombuffer(raw.as_buffer(), np.int64))
+            n += len(held[-1])
+            if n > 1_000_000:
+                yield out()
+                held, n = [], 0
+    if held:
+        yield out()
+
+
+def frequent_shingles(sets: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Shingles of more than one set and their counts, the HELD most frequent at most, and whether these are all.
+
+    A histogram of counts finds the least count that is held.
+    """
+    counts = sets.select("shingles").mapInArrow(_set_counts, SHINGLE_COUNT).groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = scratch.save(counts, "often")
+    level = F.floor(8 * F.log2("n")).cast("int")
+    room, least, whole = HELD, 1 << 30, True
+    for x, size in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        room -= size
+        if room < 0:
+            whole = False
+            break
+        least = x
+    table = counts.where(level >= least).toArrow().sort_by("shingle")
+    return table["shingle"].to_numpy(), table["n"].to_numpy(), whole
+
+
+def prefix_of(shingles: np.ndarray, known: np.ndarray, often: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The first 25 % and one of a set, rarest first, and their places from 1; without those of no other set, where that is known."""
+    n = len(shingles)
+    if not n:
+        return shingles, shingles
+    at = np.searchsorted(known, shingles)
+    hit = known[np.minimum(at, len(known) - 1)] == shingles if len(known) else np.zeros(n, bool)
+    count = np.ones(n, np.int64)
+    count[hit] = often[at[hit]]
+    order = np.lexsort((shingles, count))[: (100 - PERCENT) * n // 100 + 1]
+    place = np.arange(1, len(order) + 1)
+    keep = hit[order] if whole else np.ones(len(order), bool)
+    return shingles[order][keep], place[keep]
+
+
+def _prefixes(shared):
+    def make():
+        known, often, whole = shared.value
+
+        def f(batch: pa.RecordBatch) -> dict:
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(2)]
+            found = [prefix_of(x, known, often, whole) for x in sets]
+            sizes = [len(x) for x, _ in found]
+            each = lambda c: np.repeat(c, sizes)
+            of = lambda k: batch.column(k).to_numpy(zero_copy_only=False)
+            return {"shingle": np.concatenate([x for x, _ in found]), "doc_id": each(of(0)), "component": each(of(1)), "n": each([len(x) for x in sets]), "at": np.concatenate([x for _, x in found])}
+
+        return f
+
+    return make
+
+
 def _prefix_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs in different components that share a shingle and can still be linked if it is the first that they share.
 
@@ -255,7 +324,8 @@ def open_pairs(source: DataFrame, entries: DataFrame, so_far: DataFrame, scratch
     Regions of one component, which most are by now, are left aside by a pre-aggregated minimum and maximum. Of the others, those
     of up to REGION members give all their pairs that sizes and sketches don't rule out. Members of larger ones go through an
     exact prefix filter: each set is sorted by how many of them have a shingle; linked sets share one of their first 25 % and
-    one, so only those are grouped, and no linked pair is lost. A shingle that very many have is dealt in blocks.
+    one, so only those are grouped, and no linked pair is lost, in whatever order all sets agree on; counts of the HELD most
+    frequent shingles are sent out, and the others come before them. A shingle that very many have is dealt in blocks.
     """
     placed = entries.drop("q").join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
     placed = scratch.save(placed, "placed")
@@ -267,11 +337,9 @@ def open_pairs(source: DataFrame, entries: DataFrame, so_far: DataFrame, scratch
     large = placed.join(regions.where(F.col("members") > REGION).drop("members").hint("merge"), ["tree", "p"], "left_semi")
     ids = scratch.save(large.select(F.col("id").alias("doc_id"), "component").distinct(), "open")
     texts = source.join(ids.hint("merge"), "doc_id").select("doc_id", "text", "component")
-    rows = scratch.save(flat_map(texts, SHINGLE, _shingle_rows).distinct(), "shingles")
-    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    order = Window.partitionBy("doc_id", "key").orderBy("often", "shingle")
-    first = rows.join(often, "shingle").withColumn("at", F.row_number().over(order).cast("long")).where(f"100 * (at - 1) <= {100 - PERCENT} * n")
-    first = scratch.save(first.select("shingle", "doc_id", "component", "n", "at"), "first")
+    sets = scratch.save(flat_map(texts, SET, _sets).distinct(), "sets")
+    held = sets.sparkSession.sparkContext.broadcast(frequent_shingles(sets, scratch))
+    first = scratch.save(flat_map(sets, PREFIX, _prefixes(held)), "first")
     each = first.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("c"))
     shared = each.groupBy("shingle").agg(F.max(F.struct("c", "component"))["component"].alias("main"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     shared = scratch.save(shared.select("shingle", "main", F.ceil(F.col("c") / CHUNK).alias("blocks")), "shared")
@@ -371,7 +439,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch.drop("texts")
     so_far = components(links, scratch, "first")
     rest = scratch.save(open_pairs(source, entries, so_far, scratch, parts).join(pairs, ["a", "b"], "left_anti"), "rest")
-    scratch.drop("pairs", "entries", "placed", "regions", "open", "shingles", "first", "shared")
+    scratch.drop("pairs", "entries", "placed", "regions", "open", "sets", "often", "first", "shared")
     all_links = scratch.save(links.union(confirm(source, rest, scratch, "rest_texts")), "all_links")
     scratch.drop("rest", "rest_texts", "links")
     of_rep = components(all_links, scratch, "last")
