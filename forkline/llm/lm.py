@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .boosting import sigmoid
-from .common import SLICE_ROWS, Scratch, flat_map, remainder, words_of
+from .common import SLICE_ROWS, Scratch, flat_map, remainder
+from .words import Words, hashed
 
 #: Rows whose crc32(id) leaves this remainder are held out of all training.
 HELD_OUT_MOD = 10
@@ -23,77 +23,142 @@ ALPHA = 0.1
 OUTPUTS, CLASSES, CLASS_BYTES = 900, 160, 4
 #: Words whose counts every worker holds, at most; counts of all others are joined.
 HELD_WORDS = 150_000
-#: Shards that train in parallel from one start and are averaged, and rounds of that.
-SHARDS, ROUNDS = 12, 2
-DIM, NOISE, BATCH, RATE = 24, 10, 512, 0.12
-END = b""
-FLUSH = 200_000
-
-COUNT = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+#: Shards that train in parallel from one start and are averaged: so many, or one for each so many tokens where that is more; and rounds of that.
+SHARDS, SHARD_TOKENS, ROUNDS = 12, 20_000_000, 2
+#: Models that are averaged in one task, or on the driver.
+AVERAGED = 32
+#: Dimensions, noise words to a data word, noise words that a batch shares, its examples, and Adagrad's rate.
+DIM, NOISE, SHARED_NOISE, BATCH, RATE = 24, 10, 48, 512, 0.5
+#: The end of a text, a token beside the hashes of words.
+END = 1
+#: Tokens that a task counts at once, and examples that it holds.
+FLUSH, HELD_EXAMPLES = 2_000_000, 500_000
+
+COUNT = T.StructType([T.StructField("word", T.LongType()), T.StructField("prefix", T.LongType()), T.StructField("n", T.LongType())])
+_LOWER = np.arange(256, dtype=np.int64)
+_LOWER[65:91] += 32
+
+
+def prefixes_of(words: Words) -> np.ndarray:
+    """The first CLASS_BYTES bytes of each word as one number, lower-case, with zeros after its end."""
+    out = np.zeros(len(words.start), np.int64)
+    for k in range(CLASS_BYTES):
+        at = words.start + k
+        here = at < words.end
+        out[here] |= _LOWER[words.data[at[here]]] << 8 * (CLASS_BYTES - 1 - k)
+    return out
+
+
+def head_of(prefix, k: int):
+    """The first k bytes of prefixes (numbers or a column), and whether there are as many."""
+    low = 8 * (CLASS_BYTES - k)
+    mask, last = (1 << 8 * CLASS_BYTES) - (1 << low), 255 << low
+    if isinstance(prefix, np.ndarray):
+        return prefix & mask, (prefix & last) != 0
+    return prefix.bitwiseAND(F.lit(mask)), prefix.bitwiseAND(F.lit(last)) != 0
 
 
 def _count_words(df: DataFrame) -> DataFrame:
-    """(word, n) of all tokens, an end for each row; partial sums leave a task whenever it holds FLUSH words."""
+    """(word, prefix, n) of all tokens, an end for each row; partial sums leave a task after FLUSH tokens."""
     schema = to_arrow_schema(COUNT)
 
     def run(batches):
-        held: Counter[bytes] = Counter()
-        ends = 0
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=schema)
+        held, n, ends = [], 0, 0
+
+        def out():
+            word, prefix = (np.concatenate(x) for x in zip(*held, strict=True))
+            found, at, count = np.unique(word, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(prefix[at]), pa.array(count)], schema=schema)
+
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(words_of(text))
-                ends += 1
-                if len(held) > FLUSH:
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.column(0).slice(lo, SLICE_ROWS)
+                words = hashed(part)
+                held.append((words.hash.view(np.int64), prefixes_of(words)))
+                n, ends = n + len(words.hash), ends + len(part)
+                if n > FLUSH:
                     yield out()
-                    held.clear()
-        held[END] += ends
-        yield out()
+                    held, n = [], 0
+        if n:
+            yield out()
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (END, 0, ends)], schema=schema)
 
     return df.mapInArrow(run, COUNT)
 
 
 @dataclass
 class Tokens:
-    """What the model knows of words: ids of outputs, then classes by first bytes, and counts of frequent words."""
+    """What the model knows of words: outputs have ids of their own, then come classes by first bytes; counts of frequent words.
 
-    outputs: dict[bytes, int]
-    prefixes: dict[bytes, int]
+    Arrays of words are sorted; heads has a sorted array of prefixes and their ids for each length.
+    """
+
+    output: np.ndarray
+    output_id: np.ndarray
+    heads: list[tuple[np.ndarray, np.ndarray]]
     n_ids: int
-    frequent: dict[bytes, int]  # word -> place in the two arrays below
+    frequent: np.ndarray
     frequent_count: np.ndarray
-    frequent_id: np.ndarray
+    end_id: int = 0
+
+    def classes(self, prefix: np.ndarray) -> np.ndarray:
+        """The class of each word, by its longest known prefix."""
+        out = np.full(len(prefix), self.n_ids - 1, np.int64)
+        for k, (known, ids) in enumerate(self.heads, 1):
+            if len(known):
+                head, full = head_of(prefix, k)
+                at = np.minimum(np.searchsorted(known, head), len(known) - 1)
+                hit = full & (known[at] == head)
+                out[hit] = ids[at[hit]]
+        return out
+
+    def ids(self, words: Words) -> np.ndarray:
+        """Model ids of words, without ends."""
+        out, word = self.classes(prefixes_of(words)), words.hash.view(np.int64)
+        at = found(self.output, word)
+        out[at >= 0] = self.output_id[at[at >= 0]]
+        return out
 
-    def class_of(self, word: bytes) -> int:
-        for k in range(CLASS_BYTES, 0, -1):
-            i = self.prefixes.get(word[:k])
-            if i is not None:
-                return i
-        return self.n_ids - 1
 
+def found(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The place of each value in a sorted array, -1 where it isn't there."""
+    if not len(known):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return np.where(known[at] == values, at, -1)
 
-def class_column(word, prefixes: dict[bytes, int], other: int):
-    """The class of a word that is no output, by its longest known prefix."""
-    table = F.create_map(*[x for p, i in prefixes.items() for x in (F.lit(p.hex()), F.lit(i))]) if prefixes else None
-    found = [F.element_at(table, F.lower(F.hex(F.substring(word, 1, k)))) for k in range(CLASS_BYTES, 0, -1)] if prefixes else []
-    return F.coalesce(*found, F.lit(other))
 
+def with_ends(words: Words, ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows' tokens, an end after each row's, and where rows start, with their number last."""
+    rows = len(words.row) - 1
+    out = np.full(len(ids) + rows, end, np.int64)
+    out[np.arange(len(ids)) + np.repeat(np.arange(rows), np.diff(words.row))] = ids
+    return out, words.row + np.arange(rows + 1)
 
-def _frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
-    """The most frequent words, HELD_WORDS at most, most frequent first: all above a count that a histogram finds, so nothing is sorted on the driver's behalf."""
+
+def contexts(ids: np.ndarray, start: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each one and the one before that, `none` before a row's first. start: where rows start."""
+    a, b = np.full(len(ids), none, np.int64), np.full(len(ids), none, np.int64)
+    a[1:], b[2:] = ids[:-1], ids[:-2]
+    a[start] = b[start] = none
+    b[start[start + 1 < len(ids)] + 1] = none
+    return a, b
+
+
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words, HELD_WORDS at most, and their counts, most frequent first: all above a count that a histogram finds, so nothing is sorted on the driver's behalf."""
     level = F.floor(8 * F.log2("n")).cast("int")
     sizes = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)  # 8 levels for each doubling
-    room, least = HELD_WORDS, None
+    room, least = HELD_WORDS, 1 << 30
     for x, n in sizes:
         room -= n
         if room < 0:
             break
         least = x
-    if least is None:
-        return []
-    table = counts.where(level >= least).toArrow()
-    words, n = table["word"].to_pylist(), table["n"].to_pylist()
-    return sorted(zip(words, n, strict=True), key=lambda x: (-x[1], x[0]))
+    table = counts.where(level >= least).select("word", "n").toArrow()
+    word, n = table["word"].to_numpy(), table["n"].to_numpy()
+    order = np.lexsort((word, -n))
+    return word[order], n[order]
 
 
 # ---- the model ----------------------------------------------------------------------------------
@@ -114,8 +179,11 @@ class LogBilinear:
         p = (counts + 1) / (counts + 1).sum()
         return cls(0.1 * g.standard_normal((n + 1, DIM)), 0.1 * g.standard_normal((n, DIM)), np.stack([np.eye(DIM), 0.5 * np.eye(DIM)]), np.log(p))
 
+    def parts(self) -> list[np.ndarray]:
+        return [self.r, self.q, self.c, self.bias]
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.q, self.c, self.bias)]).astype(np.float32)
+        return np.concatenate([x.ravel() for x in self.parts()]).astype(np.float32)
 
     @classmethod
     def from_flat(cls, v: np.ndarray, n: int) -> LogBilinear:
@@ -128,42 +196,47 @@ class LogBilinear:
 
     def squares(self) -> list[np.ndarray]:
         """Adagrad's sums at the start."""
-        return [np.full_like(x, 1e-2) for x in (self.r, self.q, self.c, self.bias)]
+        return [np.full_like(x, 1e-2) for x in self.parts()]
 
     def train(self, examples: np.ndarray, noise: np.ndarray, seed: int, squares: list[np.ndarray] | None = None) -> None:
-        """One pass of noise-contrastive estimation over rows (a, b, w): the data word against NOISE words of the noise distribution, by Adagrad.
+        """One pass of noise-contrastive estimation over rows (a, b, w), by Adagrad: the data word against NOISE words of the noise distribution.
 
-        squares: its sums, to go on from an earlier pass; they are changed in place.
+        A batch shares SHARED_NOISE noise words, each weighed as NOISE / SHARED_NOISE for every example, so that its products are
+        products of matrices. squares: Adagrad's sums, to go on from an earlier pass; they are changed in place.
         """
         g = np.random.default_rng(seed)
         order = g.permutation(len(examples))
-        log_noise = np.log(NOISE * noise)
+        log_noise = np.log(NOISE * noise).astype(np.float32)
         cumulative = np.cumsum(noise)
-        squares = squares or self.squares()
+        squares = self.squares() if squares is None else squares
+        weight, column = np.float32(NOISE / SHARED_NOISE), np.arange(DIM)
+
+        def gathered(shape: tuple, *parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+            """Sums of rows of values at their places."""
+            at = np.concatenate([p for p, _ in parts])
+            values = np.concatenate([v for _, v in parts])
+            if len(shape) == 1:
+                return np.bincount(at, values, shape[0])
+            return np.bincount((at[:, None] * DIM + column).ravel(), values.ravel(), shape[0] * DIM).reshape(shape)
 
-        def step(x, s, at, grad):
-            np.add.at(s, at, grad * grad)
-            np.add.at(x, at, -RATE * grad / np.sqrt(s[at]))
+        def step(x: np.ndarray, s: np.ndarray, grad: np.ndarray, rate: float = RATE) -> None:
+            s += grad * grad
+            x -= rate * grad / np.sqrt(s)
 
         for lo in range(0, len(order), BATCH):
             a, b, w = examples[order[lo : lo + BATCH]].T.astype(np.int64)
-            ra, rb = self.r[a], self.r[b]
-            h = ra @ self.c[0].T + rb @ self.c[1].T
-            words = np.concatenate((w[:, None], np.minimum(np.searchsorted(cumulative, g.random((len(w), NOISE))), len(noise) - 1)), axis=1)
-            qs = self.q[words]
-            delta = np.einsum("nd,nkd->nk", h, qs) + self.bias[words] - log_noise[words]
-            e = sigmoid(delta)
-            e[:, 0] -= 1
-            dh = np.einsum("nk,nkd->nd", e, qs)
-            dq = (e[:, :, None] * h[:, None, :]).reshape(-1, DIM)
-            flat = words.ravel()
-            dc = np.stack([dh.T @ ra, dh.T @ rb]) / len(w)
-            step(self.q, squares[1], flat, dq)
-            step(self.bias, squares[3], flat, e.ravel() * 0.1)
-            squares[2] += dc * dc
-            self.c -= 0.2 * RATE * dc / np.sqrt(squares[2])
-            step(self.r, squares[0], a, dh @ self.c[0])
-            step(self.r, squares[0], b, dh @ self.c[1])
+            ra, rb = self.r[a].astype(np.float32), self.r[b].astype(np.float32)
+            c = self.c.astype(np.float32)
+            h = ra @ c[0].T + rb @ c[1].T
+            other = np.minimum(np.searchsorted(cumulative, g.random(SHARED_NOISE)), len(noise) - 1)
+            q, qn, bias = self.q[w].astype(np.float32), self.q[other].astype(np.float32), self.bias.astype(np.float32) - log_noise
+            e = sigmoid(np.einsum("nd,nd->n", h, q) + bias[w]) - np.float32(1)
+            en = weight * sigmoid(h @ qn.T + bias[other])
+            dh = e[:, None] * q + en @ qn
+            step(self.q, squares[1], gathered(self.q.shape, (w, e[:, None] * h), (other, en.T @ h)) / np.sqrt(len(w)))
+            step(self.bias, squares[3], gathered(self.bias.shape, (w, e), (other, en.sum(axis=0))) / np.sqrt(len(w)), 0.5 * RATE)
+            step(self.r, squares[0], gathered(self.r.shape, (a, dh @ c[0]), (b, dh @ c[1])) / np.sqrt(len(w)))
+            step(self.c, squares[2], np.stack([dh.T @ ra, dh.T @ rb]) / np.sqrt(len(w)), 0.2 * RATE)
 
     def normalisers(self) -> np.ndarray:
         """log of the sum over all words, for every context (a, b), in batches of matrix products."""
@@ -185,29 +258,10 @@ class LogBilinear:
         return (ha @ self.q.T + self.bias).astype(np.float32), (hb @ self.q.T).astype(np.float32), self.normalisers()
 
 
-#: The model ids of a training text, as 16-bit numbers; each is an example, and the two before it are its context.
-EXAMPLE = T.StructType([T.StructField("ids", T.BinaryType())])
-
-
-def _ids(words: list[bytes], tokens: Tokens) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Model ids of words and the end, places of frequent words (-1 for others), and the others."""
-    at = np.fromiter((tokens.frequent.get(w, -1) for w in words), np.int64, len(words))
-    ids = np.empty(len(words) + 1, np.int64)
-    if len(words):
-        ids[:-1] = tokens.frequent_id[at]
-    ids[-1] = tokens.outputs[END]
-    rare = []
-    for i in np.flatnonzero(at < 0).tolist():
-        rare.append(words[i])
-        ids[i] = tokens.class_of(words[i])
-    return ids, at, rare
-
-
-def _contexts(ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    padded = np.concatenate(([start, start], ids))
-    return padded[1:-1], padded[:-2]
-
-
+#: The model ids of a training text with its end, as 16-bit numbers; each is an example, and the two before it are its context.
+EXAMPLE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType())])
+#: A shard's examples, and the model and Adagrad's sums after them.
+TRAINED = T.StructType([T.StructField("n", T.LongType()), T.StructField("model", T.BinaryType())])
 SCORED = T.StructType(
     [
         T.StructField("row", T.LongType()),
@@ -216,8 +270,9 @@ SCORED = T.StructType(
         T.StructField("known", T.LongType()),
         T.StructField("base", T.DoubleType()),
         T.StructField("model", T.DoubleType()),
-        T.StructField("word", T.BinaryType()),
+        T.StructField("word", T.LongType()),
         T.StructField("n", T.LongType()),
+        T.StructField("norm", T.DoubleType()),
     ]
 )
 
@@ -225,70 +280,81 @@ SCORED = T.StructType(
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities of the whole text).
 
-    Counts are exact sums over all training tokens. The model has 900 words and the end as outputs of their own, and
+    Counts are exact sums over all training tokens; a word is known by a 64-bit hash. The model has 900 words and the end as outputs of their own, and
     160 classes of all other words by their first letters; such a word has its class's probability times its smoothed
-    share of the class. Every training token is an example; 12 shards train from
-    one start and are averaged, two times. Counts of the most frequent words, 150,000 at most, are sent to the workers; other words are joined with the table of counts, pre-aggregated by row. A null or empty text is an end alone; a null id is
-    held out, as the checksum of the empty text is 0; rows that repeat an id are each scored; an empty table gives no rows.
+    share of the class, so its context score is its class's. Every training token is an example. Shards, dealt by a hash of the id and
+    sorted by it, train from one start and are averaged by their tokens, two times; Adagrad's sums go on. There are as many as the tokens ask
+    for, and averages are taken in steps of AVERAGED models. Counts of the most frequent words, 150,000 at most, are sent to the workers; other words are joined with the table of counts, pre-aggregated by row. A null or empty text is an end alone; a null id is
+    held out, as the checksum of the empty text is 0; rows that repeat an id are each scored; an empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    training = source.where(remainder("doc_id", HELD_OUT_MOD) != 0).select("text")
-    counts = scratch.save(_count_words(training).groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "counts")
+    training = source.where(remainder("doc_id", HELD_OUT_MOD) != 0)
+    counts = scratch.save(_count_words(training.select("text")).groupBy("word").agg(F.min("prefix").alias("prefix"), F.sum("n").alias("n")).where("n > 0"), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = _frequent(counts)
-    outputs = {w: i for i, w in enumerate(dict.fromkeys([END, *(w for w, _ in frequent[:OUTPUTS])]))}
+    frequent, frequent_count = _frequent(counts)
+    output = np.array(list(dict.fromkeys([END, *frequent[:OUTPUTS].tolist()])), np.int64)
     # Classes: the prefixes that hold most of what the outputs leave, longer ones splitting their shorter ones.
-    left = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in outputs], "word binary")), "word", "left_anti")
-    mass: dict[bytes, int] = {}
+    left = counts.join(F.broadcast(spark.createDataFrame([(w,) for w in output.tolist()], "word long")), "word", "left_anti")
+    mass: dict[tuple[int, int], int] = {}
     for k in range(1, CLASS_BYTES + 1):
-        for r in left.groupBy(F.substring("word", 1, k).alias("p")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "p").limit(CLASSES).collect():
-            mass[bytes(r[0])] = r[1]
+        head, full = head_of(F.col("prefix"), k)
+        for r in left.where(full).groupBy(head.alias("p")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "p").limit(CLASSES).collect():
+            mass[k, r[0]] = r[1]
     chosen = sorted(mass, key=lambda p: (-mass[p], p))[: CLASSES - 1]
-    prefixes = {p: len(outputs) + i for i, p in enumerate(chosen)}
-    n_ids = len(outputs) + len(prefixes) + 1
-    of_class = {r[0]: (r[1], r[2]) for r in left.groupBy(class_column(F.col("word"), prefixes, n_ids - 1).alias("k")).agg(F.sum("n"), F.count(F.lit(1))).collect()}
-    class_mass, class_words = np.zeros(n_ids), np.zeros(n_ids)
-    for k, (n, v) in of_class.items():
-        class_mass[k], class_words[k] = n, v
-    tokens = Tokens(outputs, prefixes, n_ids, {w: i for i, (w, _) in enumerate(frequent)}, np.array([n for _, n in frequent], np.float64), np.zeros(len(frequent), np.int64))
-    tokens.frequent_id = np.array([outputs[w] if w in outputs else tokens.class_of(w) for w, _ in frequent] or [0], np.int64)
-    id_counts = class_mass.copy()
-    for w, n in frequent[: OUTPUTS + 1]:
-        if w in outputs:
-            id_counts[outputs[w]] = n
+    n_ids = len(output) + len(chosen) + 1
+    heads = []
+    for k in range(1, CLASS_BYTES + 1):
+        own = sorted((p, len(output) + i) for i, (size, p) in enumerate(chosen) if size == k)
+        heads.append((np.array([p for p, _ in own], np.int64), np.array([i for _, i in own], np.int64)))
+    by_word, by_output = np.argsort(frequent), np.argsort(output)
+    tokens = Tokens(output[by_output], by_output, heads, n_ids, frequent[by_word], frequent_count[by_word].astype(np.float64))
     shared = spark.sparkContext.broadcast(tokens)
+    id_counts, class_mass, class_words = np.zeros(n_ids), np.zeros(n_ids), np.zeros(n_ids)
+    for k, n, v in left.select("prefix", "n").mapInArrow(_by_class(shared), "id long, n long, words long").groupBy("id").agg(F.sum("n"), F.sum("words")).collect():
+        id_counts[k], class_mass[k], class_words[k] = n, n, v
+    places = found(tokens.frequent, output)
+    id_counts[: len(output)][places >= 0] = tokens.frequent_count[places[places >= 0]]
 
     def examples():
         known = shared.value
 
         def f(batch: pa.RecordBatch) -> dict:
-            return {"ids": [_ids(words_of(text), known)[0].astype(np.int16).tobytes() for text in batch.column(0).to_pylist()]}
+            words = hashed(batch.column(1))
+            ids, start = with_ends(words, known.ids(words), known.end_id)
+            ids = ids.astype(np.int16)
+            return {"doc_id": batch.column(0), "ids": [ids[lo:hi].tobytes() for lo, hi in zip(start[:-1], start[1:], strict=True)]}
 
         return f
 
     model = LogBilinear.start(id_counts)
     if total:
         noise = (id_counts + 1) / (id_counts + 1).sum()
-        rows = scratch.save(flat_map(training, EXAMPLE, examples).repartition(SHARDS), "examples")
+        rows = scratch.save(flat_map(training, EXAMPLE, examples), "examples")
+        shards, squares = max(SHARDS, -(-total // SHARD_TOKENS)), model.squares()
         for turn in range(ROUNDS):
-            start = spark.sparkContext.broadcast(model.flat())
-            got = [(r[0], np.frombuffer(r[1], np.float32)) for r in rows.repartition(SHARDS).mapInArrow(_shard(start, noise, n_ids, turn), "n long, model binary").collect()]
-            weight = sum(n for n, _ in got)
-            if weight:
-                model = LogBilinear.from_flat(sum(v * (n / weight) for n, v in got), n_ids)
+            state = spark.sparkContext.broadcast((model.flat(), np.concatenate([x.ravel() for x in squares]).astype(np.float32)))
+            dealt = rows.repartition(shards, "doc_id").sortWithinPartitions("doc_id", "ids").select("ids")
+            trained = scratch.save(dealt.mapInArrow(_shard(state, noise, n_ids, turn), TRAINED), f"models{turn}")
+            step, left_over = 0, trained.count()
+            while left_over > AVERAGED:
+                left_over = -(-left_over // AVERAGED)
+                trained = scratch.save(trained.repartition(left_over).mapInArrow(_averaged, TRAINED), f"models{turn}-{step}")
+                step += 1
+            _, both = average((r[0], np.frombuffer(r[1], np.float32)) for r in trained.collect())
+            if both is not None:
+                model = LogBilinear.from_flat(both[: len(both) // 2], n_ids)
+                squares = LogBilinear.from_flat(both[len(both) // 2 :], n_ids).parts()
         scratch.drop("examples")
     score = scratch.save(_score(source, spark, shared, model, class_mass, class_words, total, distinct), "scored")
     # Rare words: exact counts by a join; few rows share a word, as frequent ones never come here.
-    rare = score.where("word is not null").select("row", "word", "n").join(counts.withColumnRenamed("n", "c"), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    k = class_column(F.col("word"), prefixes, n_ids - 1)
-    share = F.create_map(*[x for i in range(len(outputs), n_ids) for x in (F.lit(i), F.lit(float(np.log10(class_mass[i] + ALPHA * (class_words[i] + 1)))))])
+    rare = score.where("word is not null").select("row", "word", "n", "norm").join(counts.select("word", F.col("n").alias("c")), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     smooth = F.log10(F.col("c") + ALPHA)
     per_row = rare.groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known2"),
         F.sum(F.col("n") * (smooth - F.lit(float(np.log10(total + ALPHA * (distinct + 1)))))).alias("base2"),
-        F.sum(F.col("n") * (smooth - F.element_at(share, k))).alias("model2"),
+        F.sum(F.col("n") * (smooth - F.col("norm"))).alias("model2"),
     )
     add = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
     out = score.where("word is null").join(per_row, "row", "left")
@@ -303,31 +369,64 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def _shard(start, noise: np.ndarray, n_ids: int, turn: int):
+def _by_class(shared):
+    """(id, n, words) of a task's words, one row for each class."""
+
     def run(batches):
-        from pyspark import TaskContext
+        known = shared.value
+        n, words = np.zeros(known.n_ids), np.zeros(known.n_ids)
+        for batch in batches:
+            at = known.classes(batch.column(0).to_numpy())
+            n += np.bincount(at, batch.column(1).to_numpy(), known.n_ids)
+            words += np.bincount(at, minlength=known.n_ids)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at].astype(np.int64)), pa.array(words[at].astype(np.int64))], names=["id", "n", "words"])
+
+    return run
 
-        model = LogBilinear.from_flat(start.value, n_ids)
-        squares = model.squares()
-        held, waiting, seen, part = [], 0, 0, TaskContext.get().partitionId()
+
+def average(models) -> tuple[int, np.ndarray | None]:
+    """The mean of (n, numbers), weighted by n, and the sum of all n."""
+    total, out = 0, None
+    for n, v in models:
+        if n:
+            out = v.astype(np.float64) * n if out is None else out + v.astype(np.float64) * n
+            total += n
+    return total, None if out is None else (out / total).astype(np.float32)
+
+
+def _averaged(batches):
+    rows = ((n, np.frombuffer(raw, np.float32)) for batch in batches for n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    n, v = average(rows)
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([v.tobytes()], pa.binary())], names=["n", "model"])
+
+
+def _shard(state, noise: np.ndarray, n_ids: int, turn: int):
+    def run(batches):
+        flat, sums = state.value
+        model, squares = LogBilinear.from_flat(flat, n_ids), LogBilinear.from_flat(sums, n_ids).parts()
+        held, waiting, seen = [], 0, 0
 
         def pass_over():
-            model.train(np.concatenate(held), noise, 1000 * turn + part + seen % 997, squares)
+            ids = np.concatenate(held)
+            a, b = contexts(ids, np.cumsum([0, *map(len, held[:-1])]), n_ids)
+            model.train(np.stack((a, b, ids), axis=1), noise, 1009 * turn + seen, squares)
             held.clear()
 
         for batch in batches:
             for raw in batch.column(0):
-                ids = np.frombuffer(raw.as_buffer(), np.int16)
-                a, b = _contexts(ids, n_ids)
-                held.append(np.stack((a, b, ids), axis=1).astype(np.int16))
-                seen += len(ids)
-                waiting += len(ids)
-                if waiting > 500_000:
+                held.append(np.frombuffer(raw.as_buffer(), np.int16))
+                seen += len(held[-1])
+                waiting += len(held[-1])
+                if waiting > HELD_EXAMPLES:
                     pass_over()
                     waiting = 0
         if held:
             pass_over()
-        yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([model.flat().tobytes()], pa.binary())], names=["n", "model"])
+        if seen:
+            both = np.concatenate([model.flat(), *(x.ravel().astype(np.float32) for x in squares)])
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([both.tobytes()], pa.binary())], names=["n", "model"])
 
     return run
 
@@ -342,35 +441,38 @@ def _score(source: DataFrame, spark: SparkSession, shared, model: LogBilinear, c
 
         known = shared.value
         first, second, norm, mass, words = tables.value
-        row = TaskContext.get().partitionId() << 40
+        done = TaskContext.get().partitionId() << 40
         base_norm = np.log10(total + ALPHA * (distinct + 1))
-        base_of = np.log10(known.frequent_count + ALPHA) - base_norm
-        in_class = known.frequent_id >= len(known.outputs)
-        share_of = np.where(in_class, np.log10(known.frequent_count + ALPHA) - np.log10(mass + ALPHA * (words + 1))[known.frequent_id], 0.0) if len(known.frequent_count) else np.zeros(0)
-        end = known.frequent.get(END, -1)
-        end_base = base_of[end] if end >= 0 else np.log10(ALPHA) - base_norm
+        class_norm = np.log10(mass + ALPHA * (words + 1))
+        log_count = np.log10(np.append(known.frequent_count, 0) + ALPHA)  # the last is for words that aren't held
+        at_end = int(found(known.frequent, np.array([END]))[0])
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
-                out: dict[str, list] = {x: [] for x in SCORED.names}
-
-                def put(*values, out=out):
-                    for name, v in zip(SCORED.names, values, strict=True):
-                        out[name].append(v)
-
                 part = batch.slice(lo, SLICE_ROWS)
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids, at, rare = _ids(words_of(text), known)
-                    a, b = _contexts(ids, known.n_ids)
-                    here = at[at >= 0]
-                    log_p = (first[a, ids] + second[b, ids] - norm[a, b]).sum(dtype=np.float64) / np.log(10)
-                    put(row, doc, len(ids), len(here) + (end >= 0), float(base_of[here].sum() + end_base), float(log_p + share_of[here].sum()), None, None)
-                    n: dict[bytes, int] = {}
-                    for w in rare:
-                        n[w] = n.get(w, 0) + 1
-                    for w, c in n.items():
-                        put(row, None, None, None, None, None, w, c)
-                    row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out[x.name], x.type) for x in schema], schema=schema)
+                text = hashed(part.column(1))
+                rows, ids = part.num_rows, known.ids(text)
+                tokens, start = with_ends(text, ids, known.end_id)
+                a, b = contexts(tokens, start[:-1], known.n_ids)
+                log_p = np.add.reduceat((first[a, tokens] + second[b, tokens] - norm[a, b]).astype(np.float64), start[:-1]) / np.log(10)
+                of, at = np.repeat(np.arange(rows), np.diff(text.row)), found(known.frequent, text.hash.view(np.int64))
+                held = at >= 0
+                in_class = held & (ids >= len(known.output))
+                base = np.bincount(of[held], log_count[at[held]] - base_norm, rows) + log_count[at_end] - base_norm
+                share = np.bincount(of[in_class], log_count[at[in_class]] - class_norm[ids[in_class]], rows)
+                n_held = np.bincount(of[held], minlength=rows) + (at_end >= 0)
+                row = done + np.arange(rows)
+                done += rows
+                # Other words: one entry for each row and word.
+                word, own, norms = text.hash.view(np.int64)[~held], of[~held], class_norm[ids[~held]]
+                order = np.lexsort((word, own))
+                word, own, norms = word[order], own[order], norms[order]
+                new = np.flatnonzero((np.diff(own, prepend=-1) != 0) | (np.diff(word, prepend=0) != 0)) if len(word) else np.empty(0, np.int64)
+                n = np.diff(new, append=len(word))
+                none = lambda k, kind: pa.nulls(k, kind)
+                yield pa.RecordBatch.from_arrays([pa.array(row), part.column(0), pa.array(np.diff(start)), pa.array(n_held), pa.array(base), pa.array(log_p + share), none(rows, pa.int64()), none(rows, pa.int64()), none(rows, pa.float64())], schema=schema)
+                if len(new):
+                    k = len(new)
+                    yield pa.RecordBatch.from_arrays([pa.array(row[own[new]]), none(k, pa.int64()), none(k, pa.int64()), none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()), pa.array(word[new]), pa.array(n), pa.array(norms[new])], schema=schema)
 
     return source.mapInArrow(run, SCORED)
 
