@@ -60,7 +60,7 @@ def to_raw(transactions: DataFrame, first_arrival: int) -> DataFrame:
 
     body = F.to_json(F.struct("signature", "index", "success", "fee", "compute_units", F.try_parse_json("message").alias("message")), {"ignoreNullFields": "false"})
     rows = transactions.withColumn("source_seq", backfill_sequence(F.col("slot"), F.col("index")))
-    return numbered(rows, "source_seq", "arrival", first_arrival, width=1 << 36).select(
+    return numbered(rows, "source_seq", "arrival", first_arrival, width=1 << 28).select(
         "arrival", "source_seq", F.lit("backfill").alias("origin"), F.lit("Transaction").alias("kind"), "slot", "parent_slot", body.cast("binary").alias("payload"), F.coalesce("block_time", F.lit(0).cast("timestamp")).alias("received_at")
     )
 

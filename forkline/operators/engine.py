@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import event_hash
 from ..session import checkpointed
 from . import chain, dlq, fold, sequence
+from .handlers import Registry
 from .prefix import WIDTH
 from .tracker import MAX_DEPTH, MAX_SLOTS
 
@@ -42,6 +43,7 @@ class Indexed:
     reorgs: DataFrame
     actions: DataFrame
     legacy: bool = False
+    refused: DataFrame | None = None
 
     @property
     def events(self) -> DataFrame:
@@ -71,14 +73,16 @@ def _without_refused(good: DataFrame, decisions: DataFrame, legacy: bool) -> Dat
 
 
 def index(
-    raw: DataFrame, *, check_json: bool = False, last_seen: int | None = None, first_seq: int = 1, max_slots: int = MAX_SLOTS, max_depth: int = MAX_DEPTH, legacy: bool = False, json_columns: bool = False, state: str | None = None, width: int = WIDTH, keep: Callable[[DataFrame, str], DataFrame] | None = None, with_state: bool = False
+    raw: DataFrame, *, check_json: bool = False, last_seen: int | None = None, first_seq: int = 1, max_slots: int = MAX_SLOTS, max_depth: int = MAX_DEPTH, legacy: bool = False, json_columns: bool = False, state: str | None = None, width: int = WIDTH, keep: Callable[[DataFrame, str], DataFrame] | None = None, with_state: bool = False, handlers: Registry | None = None
 ) -> Indexed:
-    """Run raw events through the pipeline.
+    """Run raw events through the pipeline: parse, chain, number, handlers, logs.
 
+    handlers see numbered events; what one rejects goes to `refused` and is not logged, though its number is spent and its slot was seen.
     check_json sends payloads that aren't one JSON document to `bad` before fork detection, so a slot of such events alone is never seen.
     keep(df, name) may store the accepted rows, the good ones and the decisions, which several logs are made from; without it, decisions
     are checkpointed, so that the tracker runs once. with_state adds the tracker's last state to the decisions. legacy repeats two known defects: a restore brings back every row of a slot, and a too deep rollback is refused after the tracker switched.
     """
+    raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")  # of repeated keys the last counts, whatever made the session
     stored = keep or (lambda df, name: checkpointed(df) if name == "decisions" else df)
     accepted = stored(sequence.accept(raw, last_seen, width), "accepted")
     good, bad = dlq.split(accepted) if check_json else (accepted, None)
@@ -88,6 +92,9 @@ def index(
     written = _without_refused(good, decisions, legacy)
     payload = F.col("payload").cast("string")
     numbered = sequence.assign(written, first_seq, width)
+    refused = None
+    if handlers is not None:
+        numbered, refused = handlers.split(stored(numbered, "numbered"))
     log = numbered.select(
         "slot",
         "source_seq",
@@ -104,4 +111,4 @@ def index(
     if json_columns:
         log = log.withColumns(extracted(F.col("data")))
     reorgs = chain.reorg_log(decisions)
-    return Indexed(accepted, bad, decisions, log, chain.slot_log(decisions, good), reorgs, chain.action_log(reorgs), legacy)
+    return Indexed(accepted, bad, decisions, log, chain.slot_log(decisions, good), reorgs, chain.action_log(reorgs), legacy, refused)

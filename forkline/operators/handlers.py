@@ -17,6 +17,16 @@ class Handler:
     accepts: Column
 
 
+def logging_handler(name: str = "logging") -> Handler:
+    """Takes events of all kinds and refuses none."""
+    return Handler(name, (), F.lit(True))
+
+
+def kind_counts(events: DataFrame) -> DataFrame:
+    """What a metrics handler counts: events of each kind, a row per kind."""
+    return events.groupBy("kind").agg(F.count(F.lit(1)).alias("events"))
+
+
 @dataclass
 class Registry:
     handlers: list[Handler] = field(default_factory=list)

@@ -416,17 +416,6 @@ def check_duplicates(spark, sf_dir):
     return reads.duplicates(log.unionByName(log.where("source_seq % 250 = 0")))
 
 
-def _expected(spark, sf_dir):
-    """Two series: slots up to a fork's parent, and from the fork on, for the chain's first fork."""
-    return spark.range(1, P["fork_parent"] + 1).unionByName(spark.range(P["fork_slot"], P["series_end"] + 1)).withColumnRenamed("id", "slot")
-
-
-@query
-def check_missing_slots(spark, sf_dir):
-    """Expected slots that aren't canonical."""
-    return _expected(spark, sf_dir).join(reads.canonical_slots(run(spark, sf_dir).slots), "slot", "left_anti")
-
-
 def _whole_chain(spark, sf_dir):
     """The series of all forks, up to the last slot: all slots but those between a fork's parent and the fork."""
     last = derived.stream(spark, sf_dir).agg(F.coalesce(F.max("slot"), F.lit(0))).first()[0]
@@ -436,6 +425,14 @@ def _whole_chain(spark, sf_dir):
     return spark.range(1, last + 1).withColumnRenamed("id", "slot").where(~lost)
 
 
+@query
+def check_missing_slots(spark, sf_dir):
+    """Expected slots that aren't canonical: of the whole chain's series, and of all slots as if there were no fork."""
+    slots, expected = reads.canonical_slots(run(spark, sf_dir).slots), _whole_chain(spark, sf_dir).withColumn("series", F.lit("chain"))
+    every = spark.range(1, last_slot(spark, sf_dir) + 1).select(F.col("id").alias("slot"), F.lit("straight").alias("series"))
+    return expected.unionByName(every).join(slots.select("slot"), "slot", "left_anti")
+
+
 def extra_slots(slots, expected):
     """Canonical slots that aren't expected."""
     return reads.canonical_slots(slots).join(expected, "slot", "left_anti").select("slot")
@@ -580,6 +577,19 @@ def handler_validate(spark, sf_dir):
     return good.select("source_seq", F.lit(None).cast("string").alias("rejected_by")).unionByName(bad.select("source_seq", "rejected_by"))
 
 
+@query
+def handler_pipeline(spark, sf_dir):
+    """The whole pipeline with handlers: transactions must have an even k; what is refused becomes a dead letter."""
+    from ..operators.handlers import Handler, Registry, logging_handler
+
+    k = F.try_variant_get(F.try_parse_json(F.col("payload").cast("string")), "$.k", "long")
+    x = run(spark, sf_dir, handlers=Registry([Handler("even", ("Transaction",), k % 2 == 0), logging_handler()]))
+    letters = dlq.rejects(x.refused, "EventValidation", "validation")
+    none = lambda kind: F.lit(None).cast(kind)
+    good = x.events.select("source_seq", "slot", "kind", "seq", "is_valid", none("string").alias("error_category"))
+    return good.unionByName(letters.select(F.col("sequence").alias("source_seq"), "slot", "kind", none("long").alias("seq"), none("boolean").alias("is_valid"), "error_category"))
+
+
 # ---- dead letters
 
 
@@ -666,16 +676,21 @@ def _live(spark, sf_dir):
     return derived.stream(spark, sf_dir).where(~_archive_rule())
 
 
+def last_slot(spark, sf_dir) -> int:
+    return derived.all_events(spark, sf_dir).agg(F.coalesce(F.max("slot"), F.lit(0))).first()[0]
+
+
 @query
 def backfill_candidates(spark, sf_dir):
-    """Archived slots in two ranges that hold no event."""
-    wanted = bf.ranges(spark, [(1, P["range_end"], False), (P["range_end"] - 50, P["range_end"] + 50, True), (9, 3, True)])
+    """Archived slots in two overlapping ranges, which cover the table, that hold no event."""
+    end = last_slot(spark, sf_dir)
+    wanted = bf.ranges(spark, [(1, end - 20, False), (end - 50, end, True), (9, 3, True)])
     return bf.candidates(archive(spark, sf_dir), wanted, _live(spark, sf_dir)).select("slot", F.size("transactions").alias("transactions"))
 
 
 @query
 def backfill_events(spark, sf_dir):
-    wanted = bf.ranges(spark, [(1, P["range_end"], False)])
+    wanted = bf.ranges(spark, [(1, last_slot(spark, sf_dir), False)])
     raw = bf.to_raw(bf.explode_blocks(bf.candidates(archive(spark, sf_dir), wanted, _live(spark, sf_dir))), P["first_arrival"])
     body = F.try_parse_json(F.col("payload").cast("string"))
     return raw.select("arrival", "source_seq", "origin", "slot", "parent_slot", F.try_variant_get(body, "$.signature", "string").alias("signature"), F.try_variant_get(body, "$.fee", "long").alias("fee"), F.try_variant_get(body, "$.message.k", "long").alias("k"))

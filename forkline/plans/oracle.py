@@ -21,16 +21,12 @@ P = {
     "history": 20,
     "dry_run": (10, 11, 12, 49),
     "purge_below": 100,
-    "fork_parent": 49,
-    "fork_slot": 50,
-    "series_end": 90,
     "filled": (1, 500),
     "last_seen": 300,
     "first_seq": 1000,
     "dlq_slots": (1, 25, 50, 98, 122),
     "now_s": 1_706_745_600,
     "purge_days": 15,
-    "range_end": 200,
     "first_arrival": 5_000_000,
 }
 
@@ -83,7 +79,8 @@ _CURSORS = """, blocks AS (
 cursors AS (
   SELECT CASE WHEN block % 2 = 0 THEN 'even' ELSE 'odd' END AS name, max(slot) AS slot, max(seq) AS seq, max(source_seq) AS source_seq, 'block-' || arg_max(block, source_seq) AS metadata, arg_max(us, source_seq) AS updated_at_us
   FROM blocks GROUP BY 1)"""
-_EXPECTED = f""", expected AS (SELECT unnest(range(1, {P["fork_parent"] + 1})) AS slot UNION ALL SELECT unnest(range({P["fork_slot"]}, {P["series_end"] + 1})))"""
+_EXPECTED = """, straight AS (SELECT unnest(range(1, (SELECT max(event_id) // 4 + 2 FROM base))) AS slot),
+whole AS (SELECT slot FROM straight WHERE NOT (((slot - 1) // 50 + 1) * 50 <= (SELECT max(slot) FROM straight) AND slot < ((slot - 1) // 50 + 1) * 50 AND slot >= ((slot - 1) // 50 + 1) * 50 - 1 - ((slot - 1) // 50) % 5))"""
 #: Errors with their category and whether they are retried, kept as dead letters, fatal or skipped.
 _ERRORS = """(VALUES
   ('GrpcConnection', 'processing', true, false, false, false), ('StreamEnded', 'processing', true, false, false, false),
@@ -180,8 +177,8 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
         "pipeline_end_state": q("SELECT kind, is_valid, count(*) AS rows, CAST(sum(seq) AS BIGINT) AS seqs, CAST(sum(slot) AS BIGINT) AS slots FROM cur GROUP BY 1, 2"),
         # checks
         "check_duplicates": q("SELECT slot, source_seq, CAST(2 AS BIGINT) AS n FROM ev WHERE source_seq % 250 = 0"),
-        "check_missing_slots": q("SELECT slot FROM expected e WHERE NOT EXISTS (SELECT 1 FROM cur WHERE is_valid AND cur.slot = e.slot)", _EXPECTED),
-        "check_extra_slots": q(f"SELECT slot FROM sl WHERE slot <= {P['series_end'] + 20} AND slot NOT IN (SELECT slot FROM lost) AND slot NOT IN (SELECT slot FROM expected)", _EXPECTED),
+        "check_missing_slots": q("SELECT slot, series FROM (SELECT slot, 'chain' AS series FROM whole UNION ALL SELECT slot, 'straight' AS series FROM straight) e WHERE NOT EXISTS (SELECT 1 FROM cur WHERE is_valid AND cur.slot = e.slot)", _EXPECTED),
+        "check_extra_slots": q("SELECT slot FROM sl WHERE slot NOT IN (SELECT slot FROM lost) AND slot NOT IN (SELECT slot FROM whole)", _EXPECTED),
         # sequences
         "sequence_classify": q("SELECT arrival, source_seq, seen, outcome, CASE WHEN outcome = 'gap' THEN seen + 1 END AS gap_start, CASE WHEN outcome = 'gap' THEN source_seq - 1 END AS gap_end FROM cls", _NOISY),
         "sequence_gaps": q("SELECT gap_start, gap_end, gap_end - gap_start + 1 AS missing FROM gaps", _GAPS),
@@ -209,6 +206,9 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
         "kind_priority": q("SELECT kind, count(*) AS events, CAST(CASE kind WHEN 'SlotUpdate' THEN 0 WHEN 'BlockMeta' THEN 1 WHEN 'Entry' THEN 2 WHEN 'Transaction' THEN 3 ELSE 4 END AS INTEGER) AS priority FROM ev GROUP BY kind"),
         "slot_status_flags": q("SELECT slot, CASE WHEN gone THEN 'Orphaned' ELSE 'Processing' END AS status, NOT gone AS is_revocable, gone AS is_final FROM (SELECT slot, slot IN (SELECT slot FROM lost) AS gone FROM sl)"),
         "redact_url": q("SELECT DISTINCT user_id, CASE user_id % 3 WHEN 0 THEN 'postgres://***@host/' WHEN 1 THEN 'postgres://host/' ELSE 'mailto@host/' END || user_id AS shown FROM ev"),
+        "handler_pipeline": q(
+            "SELECT source_seq, slot, kind, CASE WHEN refused THEN NULL ELSE seq END AS seq, CASE WHEN refused THEN NULL ELSE is_valid END AS is_valid, CASE WHEN refused THEN 'validation' END AS error_category FROM (SELECT *, kind = 'Transaction' AND coalesce(CAST(props::JSON ->> '$.k' AS BIGINT) % 2, 1) <> 0 AS refused FROM cur)"
+        ),
         "handler_validate": q("SELECT source_seq, CASE WHEN kind = 'Transaction' AND CAST(props::JSON ->> '$.k' AS BIGINT) % 2 = 1 THEN 'even' END AS rejected_by FROM ev"),
         # dead letters
         "dlq_rejects": q("SELECT source_seq, slot, parent_slot, kind, CASE WHEN event_id % 97 = 0 THEN 'malformed' END AS error_category, CASE WHEN event_id % 97 = 0 THEN CAST(0 AS INTEGER) END AS retry_count, CASE WHEN event_id % 97 = 0 THEN '{ bad' ELSE props END AS payload FROM ev"),
@@ -225,9 +225,9 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
         "dlq_replay": q("SELECT source_seq AS sequence, CAST(1 AS INTEGER) AS retry_count, true AS is_resolved FROM dl WHERE slot % 4 = 2 UNION ALL SELECT source_seq, 0, false FROM dl WHERE slot % 4 = 2", _TRIED),
         "replay_summary": q("SELECT count(*) AS attempted, count(*) FILTER (is_resolved) AS succeeded, count(*) FILTER (NOT is_resolved) AS failed, count(*) FILTER (is_resolved) / count(*) AS success_rate FROM dl", _TRIED),
         # backfill
-        "backfill_candidates": q(f"SELECT slot, CAST(count(*) AS INTEGER) AS transactions FROM tx WHERE slot % 10 = 3 AND slot <= {P['range_end'] + 50} GROUP BY slot", _ARCHIVE),
+        "backfill_candidates": q("SELECT slot, CAST(count(*) AS INTEGER) AS transactions FROM tx WHERE slot % 10 = 3 GROUP BY slot", _ARCHIVE),
         "backfill_events": q(
-            f"SELECT row_number() OVER (ORDER BY slot, idx) + {P['first_arrival'] - 1} AS arrival, slot * 1048576 + idx AS source_seq, 'backfill' AS origin, slot, slot - 1 AS parent_slot, 'sig-' || event_id AS signature, CASE WHEN source_seq % 5 <> 0 THEN source_seq * 10 ELSE 0 END AS fee, CAST(props::JSON ->> '$.k' AS BIGINT) AS k FROM tx WHERE slot % 10 = 3 AND slot <= {P['range_end']}",
+            f"SELECT row_number() OVER (ORDER BY slot, idx) + {P['first_arrival'] - 1} AS arrival, slot * 1048576 + idx AS source_seq, 'backfill' AS origin, slot, slot - 1 AS parent_slot, 'sig-' || event_id AS signature, CASE WHEN source_seq % 5 <> 0 THEN source_seq * 10 ELSE 0 END AS fee, CAST(props::JSON ->> '$.k' AS BIGINT) AS k FROM tx WHERE slot % 10 = 3",
             _ARCHIVE,
         ),
         "gap_to_slots": q("SELECT greatest(gap_end // 4 + 1 - least(gap_end - gap_start + 1, 1000), 0) AS start_slot, gap_end // 4 + 1 AS end_slot, CAST(1 AS INTEGER) AS priority, true AS is_gap_fill FROM gaps", _GAPS),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -34,14 +35,21 @@ def ready(spark: SparkSession) -> bool:
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, written to the folder that executors share (spark.checkpoint.dir) and without its lineage.
 
-    Where the session names no folder, as in tests, a temporary one is set.
+    Where a session on one machine names no folder, as in tests, a temporary one is set; on a cluster that is an error.
     """
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="forkline-"))
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark))
     return df.checkpoint()
 
 
+def own_folder(spark: SparkSession) -> str:
+    """A temporary folder of this machine, where all executors are threads of this process."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="forkline-")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each context, so that their workers can import it from any folder."""
     context = spark.sparkContext

@@ -13,7 +13,7 @@ from ..functions.scalars import overflow_policy
 
 @dataclass
 class Config:
-    """Settings that something reads."""
+    """Settings of streaming.service."""
 
     chain_tracker_max_slots: int = 10_000
     max_rollback_depth: int = 512
@@ -24,6 +24,9 @@ class Config:
     default_page_size: int = 100
     max_page_size: int = 1000
     backfill_batch_size: int = 100
+    max_reconnect_attempts: int = 10
+    first_wait_ms: int = 500
+    longest_wait_ms: int = 30_000
     archive_path: str = ""
     store_path: str = ""
     sources: dict[str, str] = field(default_factory=dict, repr=False)

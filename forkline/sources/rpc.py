@@ -44,7 +44,9 @@ class RpcClient:
                 answer = json.loads(text)
                 if answer.get("error"):
                     raise RpcError(answer["error"].get("code", 0), answer["error"].get("message", ""))
-                return answer.get("result")
+                if "result" not in answer:
+                    raise RpcError(0, f"{method}: the answer has neither result nor error")
+                return answer["result"]
             except OSError:
                 if not left:
                     raise
@@ -92,7 +94,7 @@ def fetch_blocks(spark: SparkSession, make_client: Callable[[], RpcClient], slot
                 if block is not None:
                     for t in block.get("transactions") or []:
                         t["transaction"]["message"] = json.dumps(t["transaction"].get("message"))
-                        if t["meta"].get("err") is not None:
+                        if (t.get("meta") or {}).get("err") is not None:
                             t["meta"]["err"] = json.dumps(t["meta"]["err"])
                     rows.append({"slot": slot, **{k: block.get(k) for k in BLOCK.names if k != "slot"}})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)

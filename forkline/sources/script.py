@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +47,23 @@ class ChainScript:
         return emit(self.to_frame(spark), first_seq, first_arrival)
 
 
+def sized(slots: int = 40, events: int = 4, reorg_depth: int = 5) -> ChainScript:
+    """A straight run of slots from 1, then a branch that leaves it reorg_depth slots below the head and grows two slots beyond it; depth 0 has none."""
+    script = ChainScript().extend(1, slots, events)
+    return script.fork(slots + 1, max(0, slots - reorg_depth), reorg_depth + 2, events) if reorg_depth else script
+
+
+def from_env(env: Mapping[str, str] | None = None) -> ChainScript:
+    """sized() by SCRIPT_SLOTS, SCRIPT_EVENTS_PER_SLOT and SCRIPT_REORG_DEPTH; what is no whole number counts as unset."""
+    env = os.environ if env is None else env
+
+    def size(name: str, default: int) -> int:
+        value = env.get(name, "").strip()
+        return int(value) if re.fullmatch(r"\d+", value) else default
+
+    return sized(size("SCRIPT_SLOTS", 40), size("SCRIPT_EVENTS_PER_SLOT", 4), size("SCRIPT_REORG_DEPTH", 5))
+
+
 def emit(script: DataFrame, first_seq: int = 1, first_arrival: int = 1) -> DataFrame:
     """Raw events of a script: as many per slot as it says, numbered on from first_seq."""
     rows = running_sum_before(script, "step", "events", "__before").where("events > 0").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("events") - 1)))

@@ -30,11 +30,11 @@ class Metrics(StreamingQueryListener):
         with self._lock:
             self.gauges[name] = value
 
-    def observe(self, name: str, value: float, bounds: tuple[float, ...]) -> None:
+    def observe(self, name: str, value: float, bounds: tuple[float, ...], times: int = 1) -> None:
         with self._lock:
             _, counts, total = self.histograms.get(name, (bounds, [0] * (len(bounds) + 1), 0.0))
-            counts[next((i for i, b in enumerate(bounds) if value <= b), len(bounds))] += 1
-            self.histograms[name] = (bounds, counts, total + value)
+            counts[next((i for i, b in enumerate(bounds) if value <= b), len(bounds))] += times
+            self.histograms[name] = (bounds, counts, total + value * times)
 
     def render(self) -> str:
         """Text in the format of Prometheus; dots in names become underscores."""
@@ -71,10 +71,12 @@ class Metrics(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         self.count("stream.terminated")
 
-    def committed(self, manifest: dict, depths: list[int], letters: int) -> None:
-        """Take in a commit: its position, its rollbacks and its dead letters."""
+    def committed(self, manifest: dict, depths: dict[int, int], letters: int, kinds: dict[str, int] | None = None) -> None:
+        """Take in a commit: its position, how many rollbacks it has of each depth, its dead letters and its events of each kind."""
         self.gauge("persist.cursor_slot", (manifest.get("cursor") or {}).get("slot") or 0)
         self.count("dlq.entries", letters)
-        for d in depths:
-            self.count("processor.reorgs")
-            self.observe("processor.rollback_depth", d, DEPTHS)
+        for kind, n in (kinds or {}).items():
+            self.count(f"processor.events.{kind}", n)
+        for d, n in depths.items():
+            self.count("processor.reorgs", n)
+            self.observe("processor.rollback_depth", d, DEPTHS, n)
