@@ -16,10 +16,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component; of rows that repeat its id, the smallest. Rows without an id stay."""
+    """Keep the document with the smallest id of each component; of rows that repeat its id, the smallest by the columns that have an order. Rows without an id stay."""
     kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kinds = dict(docs.dtypes)
+    ordered = [c for c in docs.columns if c != "doc_id" and not any(k in kinds[c] for k in ("map<", "variant", "void"))]
     others = [c for c in docs.columns if c != "doc_id"]
-    one = docs.join(kept.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("__row"))
+    least = F.min(F.struct(*others)) if len(ordered) == len(others) else F.min_by(F.struct(*others), F.struct(*ordered))
+    one = docs.join(kept.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(least.alias("__row"))
     return one.select(*(F.col("doc_id") if c == "doc_id" else F.col(f"__row.{c}").alias(c) for c in docs.columns)).unionByName(docs.where("doc_id is null"))
 
 
