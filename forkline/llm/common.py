@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from typing import ClassVar
@@ -13,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import own_folder
+
 #: Rows that become Python objects at once; texts can be long, so this stays small.
 SLICE_ROWS = 256
 
@@ -20,15 +21,15 @@ SLICE_ROWS = 256
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests on one machine), a temporary folder is set as checkpoint
-    folder, so that it is named from then on.
+    Where a session on one machine names none, as in tests, a temporary folder is set as checkpoint
+    folder, so that it is named from then on; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         existing = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = existing.get() if existing.isDefined() else None
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="forkline-")
+        found = own_folder(spark)
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 

@@ -69,9 +69,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
     """Write one record per page: whole responses, and header-only revisits of payloads that occur before.
 
     Of the pages whose equal payloads have at least min_bytes bytes, the one with the smallest id is
-    the response. Headers alone are shuffled by digest; the smallest id per digest is pre-aggregated, so a
-    payload that a third of the pages share is no hot group, and only digests that occur more than once
-    join back. Rows that repeat the smallest id are all responses; a null id loses against any other; a null
+    the response. Headers alone are shuffled by digest; the smallest id per digest is pre-aggregated, only digests that occur more than once
+    join back, and adaptive execution splits the join's side of a payload that a third of the pages share. Rows that repeat the smallest id are all responses; a null id loses against any other; a null
     html is empty. The text sink ends each record with CRLF CRLF, which is the format's own end; files are compressed.
     """
     spark = pages.sparkSession
@@ -79,7 +78,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
     raw = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     heads = scratch.save(add_columns(raw.select("page_id", "html"), "html", [T.StructField("digest", T.StringType()), T.StructField("bytes", T.LongType())], _digests).drop("html"), "heads")
     firsts = heads.where(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    revisits = scratch.save(heads.join(firsts, ["digest", "bytes"]).where(~F.col("page_id").eqNullSafe(F.col("first"))).groupBy("page_id", "digest", "bytes").agg(F.min("first").alias("first")), "revisits")
+    # Stored, so that both sides of the join are dealt for it alone, and the pages of a hot digest can be split.
+    firsts = scratch.save(firsts, "firsts")
+    each = heads.groupBy("page_id", "digest", "bytes").agg(F.count(F.lit(1)).alias("n")).drop("n")
+    each = scratch.save(each, "each")
+    revisits = scratch.save(each.join(firsts.hint("merge"), ["digest", "bytes"]).where(~F.col("page_id").eqNullSafe(F.col("first"))), "revisits")
     total = heads.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     rows = add_columns(raw, "html", [T.StructField("digest", T.StringType()), T.StructField("bytes", T.LongType())], _digests)
     # Both sides are dealt by the same keys, so the texts are shuffled once and a partition is a file.
