@@ -536,3 +536,48 @@ def test_scratch_tables_go_when_cleared(spark):
     Scratch.roots += others
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         scratch.read("t").count()
+
+
+def test_blocks_held_counts_and_partitions_change_no_component(spark, monkeypatch):
+    r = random.Random(12)
+    base, rows = words(r, 200), []
+    for i in range(160):
+        w = list(base)
+        for _ in range(r.randint(3, 9)):
+            w[r.randrange(len(w))] = words(r, 1)[0]
+        rows.append((i, " ".join(w)))
+    df, expected = spark.createDataFrame(rows, "doc_id long, text string"), brute_components(rows)
+    assert len({c for _, _, c in expected}) > 1
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for name, value in (("REGION", 4), ("CHUNK", 8), ("HELD", 5)):
+        monkeypatch.setattr(minhash, name, value)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        assert as_tuples(minhash.near_duplicates(df).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_columns_that_clash_are_replaced_and_own_names_are_kept(spark):
+    text = prose(random.Random(2), 80)
+    rows = [(i, text, "x", "y", "z") for i in range(3)]
+    out = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, runs string, first_docs string, doc string")).collect()
+    assert {(r["runs"], r["doc"]) for r in out} == {("x", "z")}
+    assert sorted((r["doc_id"], r["first_docs"]) for r in out) == [(0, []), (1, [0]), (2, [0])]
+
+
+@pytest.mark.parametrize("block", [16, 1 << 16])
+def test_word_hashes_follow_the_words(monkeypatch, block):
+    from forkline.llm import words as module
+
+    monkeypatch.setattr(module, "BLOCK_BYTES", block)
+    r = random.Random(6)
+    texts = [None, "", " \t\n", "A a", "x" * 70 + "\x0b\x0c" + "é" * 20, *("".join(r.choice("abAB é 　\n\r\x00.") for _ in range(r.randint(0, 200))) for _ in range(60))]
+    got = module.hashed(pa.array(["skipped", *texts]).slice(1))
+    name: dict[bytes, int] = {}
+    for k, t in enumerate(texts):
+        own = got.hash[got.row[k] : got.row[k + 1]].tolist()
+        expected = [b for b in (t or "").encode().lower().split()]
+        assert len(own) == len(expected)
+        assert all(name.setdefault(w, h) == h for w, h in zip(expected, own, strict=True))
+    assert len(set(name.values())) == len(name)
