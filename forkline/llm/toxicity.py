@@ -221,7 +221,10 @@ def _votes(index: dict[str, int], ranked: list[str]):
 
 
 def fit(sample: DataFrame) -> Model:
-    """Fit on a bounded sample (label, text): rank features, let the voters vote, fit the label model, and fit the classifier to its posteriors."""
+    """Fit on a bounded sample (label, text): rank features, let the voters vote, fit the label model, and fit the classifier to its posteriors.
+
+    Labels rank the features and start the label model; the classifier's targets are the posteriors of the votes alone.
+    """
     n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):  # nothing to tell apart: the seed lexicon alone
         index = {k: i for i, k in enumerate(sorted(INSULTS))}
@@ -232,7 +235,7 @@ def fit(sample: DataFrame) -> Model:
     y = np.array([r["label"] for r in rows], float)
     votes = np.array([r["votes"] for r in rows], np.int64)
     label_model = LabelModel().fit(votes, y.astype(int))
-    target = sigmoid(label_model.evidence(votes) + np.where(y == 1, 3.0, -3.0))
+    target = sigmoid(label_model.evidence(votes))  # what the voters say; a row's own label isn't added
     x = np.zeros((len(rows), len(index)), np.float32)
     for k, r in enumerate(rows):
         i, v = values_of(Counter(dict(zip(r["at"], r["n"], strict=True))), r["n_words"])
