@@ -6,6 +6,7 @@ import functools
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -166,6 +167,27 @@ def _examples(n: int, seed: int) -> list[tuple[str, str, int, int, int]]:
     return out
 
 
+class Taken:
+    """Places of a text that spans hold, as disjoint intervals in order, so that a long text's spans aren't compared in pairs."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)
+        return not i or self.ends[i - 1] <= start
+
+    def add(self, start: int, end: int) -> None:
+        """Take an interval that is free, or that starts at or after all others' starts."""
+        i = bisect_left(self.starts, end)
+        if i and self.ends[i - 1] > start:
+            self.ends[i - 1] = max(self.ends[i - 1], end)
+        else:
+            self.starts.insert(i, start)
+            self.ends.insert(i, end)
+
+
 @dataclass
 class Detector:
     """A fitted model: trees, calibration, and each kind's least probability."""
@@ -185,15 +207,18 @@ class Detector:
         """
         base = base_spans(text)
         wide = sorted(set(wide_spans(text)) - set(base))
-        taken = sorted((s, e) for _, s, e in base)
-        wide = [w for w in wide if not any(s < w[2] and w[1] < e for s, e in taken)] if taken else wide
+        taken = Taken()
+        for _, s, e in sorted(base, key=lambda b: b[1:]):
+            taken.add(s, e)
+        wide = [w for w in wide if taken.free(w[1], w[2])]
         if not wide:
             return base, base
         p = self.probabilities(np.array([features(text, *w) for w in wide]))
         chosen: list[tuple[str, int, int]] = []
         for i in np.argsort(-p, kind="stable"):
             k, s, e = wide[i]
-            if p[i] >= self.least[k] and not any(a < e and s < b for _, a, b in chosen):
+            if p[i] >= self.least[k] and taken.free(s, e):
+                taken.add(s, e)
                 chosen.append(wide[i])
         return base, sorted([*base, *chosen], key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
