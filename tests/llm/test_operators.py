@@ -252,6 +252,23 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == base_by_regex(text), text
 
 
+def test_taken_places_equal_a_comparison_of_all_pairs():
+    r = random.Random(12)
+    for _ in range(300):
+        taken, held = pii.Taken(), []
+        for s, e in sorted((s, s + r.randint(1, 9)) for s in (r.randrange(60) for _ in range(r.randrange(5)))):
+            taken.add(s, e)
+            held.append((s, e))
+        for _ in range(30):
+            s = r.randrange(70)
+            e = s + r.randint(1, 9)
+            free = not any(a < e and s < b for a, b in held)
+            assert taken.free(s, e) == free
+            if free:
+                taken.add(s, e)
+                held.append((s, e))
+
+
 def test_added_spans_keep_the_base_and_are_learned(docs, empty):
     d = pii.train()
     for text in ("mail to jan.roe(at)host(dot)org today", "call 0049 555 123 4567 now", "tel: (555) 123-4567."):
@@ -301,8 +318,9 @@ def test_toxicity_learns_from_labels_and_takes_awkward_rows(spark, docs, empty):
     assert sum(pairs) / len(pairs) > 0.9
     scored = toxicity.score_documents(docs, model, name="toxic_score").collect()
     assert ids(scored) == ALL_IDS and all(0 <= x["toxic_score"] <= 1 for x in scored)
-    with pytest.raises(ValueError):
-        toxicity.score_documents(docs, model)  # the column score is there already
+    again = toxicity.score_documents(docs, model)  # the column score is there already, and is replaced
+    assert again.columns.count("score") == 1 and sorted(again.columns) == sorted(docs.columns)
+    assert {x["doc_id"]: x["score"] for x in again.collect()} == {x["doc_id"]: x["toxic_score"] for x in scored}
     assert toxicity.score_documents(empty.drop("score"), toxicity.train(empty, lab.limit(0))).count() == 0
 
 
@@ -319,6 +337,17 @@ def test_label_model_finds_accuracies_and_damps_copies():
     assert ((m.evidence(votes) > 0) == y).mean() > 0.88
 
 
+def test_the_label_models_posterior_is_bayes_rule_over_its_tables():
+    g = np.random.default_rng(4)
+    votes = g.integers(-1, 2, (400, 4))
+    m = toxicity.LabelModel().fit(votes, np.where(g.random(400) < 0.5, (votes[:, 0] > 0).astype(int), -1))
+    for row, got in zip(votes.tolist(), m.evidence(votes).tolist(), strict=True):
+        odds = m.prior / (1 - m.prior)
+        for k, v in enumerate(row):
+            odds *= np.exp(m.log_odds[k][v + 1]) ** m.weight[k]
+        assert abs(np.log(odds) - got) < 1e-9
+
+
 # ---- tokens
 
 
@@ -504,6 +533,22 @@ def test_leaks_are_found_verbatim_and_paraphrased(spark, docs, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_several_blocks_of_items(spark, monkeypatch):
+    r = random.Random(9)
+    items = [(k, prose(r, 30)) for k in range(12)]
+    docs = [(i, prose(r, 60) + (" " + items[i % 12][1] + " " + items[(i + 5) % 12][1] if i % 2 else "")) for i in range(40)]
+    df = spark.createDataFrame([(i, t, [i], str(i)) for i, t in docs] + [(40, None, None, None)], "doc_id long, text string, leaked_items array<int>, both string")
+    bench = spark.createDataFrame([*items, (3, items[3][1])], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK", 5)
+    expected = {i: sorted({i % 12, (i + 5) % 12}) if i % 2 else [] for i in range(40)} | {40: []}
+    marked = decontaminate.mark_leaks(df, bench)
+    assert {x["doc_id"]: x["leaked_items"] for x in marked.collect()} == expected
+    assert sorted(marked.columns) == ["both", "doc_id", "leaked_items", "text"]
+    found = decontaminate.find_leaks(df, bench).collect()
+    assert sorted((x["doc_id"], x["item_id"]) for x in found) == [(i, k) for i, ks in expected.items() for k in ks]
+    assert [x["leaked_items"] for x in decontaminate.mark_leaks(df, bench.limit(0)).collect()] == [[]] * 41
+
+
 def test_common_subsequence_equals_dynamic_programming():
     r = random.Random(5)
     for _ in range(200):
