@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,8 @@ from ..functions.hashing import event_hash
 from ..operators import backfill as bf
 from ..operators import chain, dlq, engine, fold, reads, sequence
 from ..operators.prefix import smallest_after
-from ..sources import derived, script, wire
+from ..session import shared_folder
+from ..sources import derived, rpc, script, wire
 from . import oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +133,34 @@ def rpc_block_explode(spark, sf_dir):
     return bf.explode_blocks(archive(spark, sf_dir)).select("slot", "parent_slot", "index", "signature", "success", "fee")
 
 
+class _Archive:
+    """A service of archived blocks by rule: slots divisible by 7 have none, the first request for one divisible by 11 fails, and a slot has up to 3 transactions."""
+
+    def __init__(self) -> None:
+        self.failed: set[int] = set()
+
+    def __call__(self, url: str, body: bytes) -> tuple[int, str]:
+        slot = json.loads(body)["params"][0]
+        if slot % 11 == 0 and slot not in self.failed:
+            self.failed.add(slot)
+            return 503, "busy"
+        if slot % 7 == 0:
+            return 200, json.dumps({"error": {"code": rpc.NO_BLOCK[slot % len(rpc.NO_BLOCK)], "message": "skipped"}})
+        made = []
+        for k in range(slot % 4):
+            meta = {"err": None if (slot + k) % 5 else {"InstructionError": [k, "Custom"]}, "fee": slot * 10 + k}
+            made.append({"transaction": {"signatures": [f"sig-{slot}-{k}"], "message": {"accountKeys": []}}, "meta": None if k == 2 else meta})
+        return 200, json.dumps({"result": {"parentSlot": slot - 1, "blockhash": f"hash-{slot}", "blockTime": slot, "transactions": made}})
+
+
+@query
+def rpc_fetch(spark, sf_dir):
+    """Blocks of all slots, asked for by the executors from a service that is busy at times and lacks some."""
+    slots = derived.all_events(spark, sf_dir).select("slot").distinct()
+    blocks = rpc.fetch_blocks(spark, lambda: rpc.RpcClient("http://archive", post=_Archive(), sleep=lambda s: None), slots)
+    return bf.explode_blocks(blocks).select("slot", "parent_slot", "index", "signature", "success", "fee")
+
+
 # ---- writes
 
 
@@ -501,6 +532,14 @@ def shed_model(spark, sf_dir):
 # ---- scalars
 
 
+@query
+def buffer_gauges(spark, sf_dir):
+    """What came, was kept and was dropped in each tick of a bounded buffer that drops the newest."""
+    rows = derived.stream(spark, sf_dir).withColumn("tick", F.expr("source_seq div 16"))
+    kept = sequence.shed(rows, 10, "drop_newest", "source_seq")
+    return kept.groupBy("tick").agg(F.count(F.lit(1)).alias("received"), F.count_if("kept").alias("depth"), F.count_if(~F.col("kept")).alias("dropped"))
+
+
 @query
 def events_hash(spark, sf_dir):
     rows = derived.stream(spark, sf_dir)
@@ -664,6 +703,22 @@ def dlq_replay(spark, sf_dir):
     return rows.select("sequence", "retry_count", "is_resolved").unionByName(again)
 
 
+@query
+def letters_store(spark, sf_dir):
+    """A store of dead letters: some are resolved long ago and purged, others are resolved now, the rest waits."""
+    from ..operators.letters import FolderLetters
+
+    _, log = _letters(spark, sf_dir)
+    store = FolderLetters(spark, f"{shared_folder(spark)}/letters-{uuid.uuid4().hex}")
+    store.insert(log)
+    now = F.timestamp_seconds(F.lit(P["now_s"]))
+    for slots, days in ((P["dlq_slots"][:3], 1 + P["purge_days"]), (P["dlq_slots"][3:], 0)):
+        chosen = store.entries().where(F.col("slot").isin(*slots)).select("id").collect()  # of a few slots
+        store.resolve([r[0] for r in chosen], now - F.make_dt_interval(F.lit(days)))
+        store.purge(P["purge_days"], now)
+    return store.entries().select("sequence", "slot", "status", "can_retry", us("resolved_at"))
+
+
 @query
 def replay_summary(spark, sf_dir):
     return dlq.replay_summary(dlq.state(_tried(spark, sf_dir)).select("id", F.col("is_resolved").alias("ok")))
@@ -713,3 +768,33 @@ def backfill_queue(spark, sf_dir):
 def backfill_progress(spark, sf_dir):
     """Share of slot 2000 that each kind's last slot reaches."""
     return derived.stream(spark, sf_dir).groupBy("kind").agg(F.max("slot").alias("slot")).select("kind", bf.progress(F.col("slot"), F.lit(2000)).alias("progress"))
+
+
+# ---- the store and the API
+
+
+class _NoStore:
+    """A store that fails, whose error must not be shown."""
+
+    def events(self):
+        raise OSError("secret-host:5432")
+
+
+@query
+def api_responses(spark, sf_dir):
+    """What the API answers over a store that took the stream in two batches, the first of them twice."""
+    from ..streaming.engine import ingest
+    from ..streaming.store import Store
+    from .api import Api
+
+    store, rows = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"), derived.stream(spark, sf_dir)
+    early = F.col("arrival") <= P["first_batch"]
+    committed = [ingest(store, rows.where(c), batch) for c, batch in ((early, 0), (early, 0), (~early, 1))]
+    asked = [("health/live", {}), ("health/ready", {}), ("metrics", {}), ("v1/status", {}), ("v1/chain/head", {}), ("v1/events", {"limit": "1000", "kind": P["kind"]}), ("v1/events", {"kind": "Nope"}), (f"v1/events/slot/{P['slot']}", {}), ("v1/events/slot/x", {}), (f"v1/slots/{P['lookup']}", {}), ("v1/slots/999999999999", {}), ("v1/nowhere", {})]
+    out = [("commits", sum(committed), store.last()["commit"], None)]
+    for api, path, params in [*((Api(store), p, q) for p, q in asked), (Api(_NoStore()), "v1/events", {"limit": "1"})]:
+        code, text = api.handle(path, params)
+        body = json.loads(text) if text.startswith("{") else {}
+        value = body.get("count", body.get("head", body.get("slot", body.get("events", {}).get("valid"))))
+        out.append(("/".join([path, *(f"{k}={v}" for k, v in sorted(params.items()))]), code, value, body.get("error") if code == 500 else None))
+    return spark.createDataFrame(out, "request string, code int, value long, shown string")

@@ -28,6 +28,7 @@ P = {
     "now_s": 1_706_745_600,
     "purge_days": 15,
     "first_arrival": 5_000_000,
+    "first_batch": 400,
 }
 
 _BASE = """base AS (
@@ -114,6 +115,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT slot, slot - 1 AS parent_slot, CAST(idx AS INTEGER) AS index, 'sig-' || event_id AS signature, source_seq % 7 <> 0 AS success, CASE WHEN source_seq % 5 <> 0 THEN source_seq * 10 ELSE 0 END AS fee FROM tx",
             _ARCHIVE,
         ),
+        "rpc_fetch": q(
+            "SELECT slot, slot - 1 AS parent_slot, CAST(k AS INTEGER) AS index, 'sig-' || slot || '-' || k AS signature, k = 2 OR (slot + k) % 5 <> 0 AS success, CASE WHEN k = 2 THEN 0 ELSE slot * 10 + k END AS fee "
+            "FROM (SELECT slot, unnest(range(0, slot % 4)) AS k FROM (SELECT DISTINCT slot FROM base) WHERE slot % 7 <> 0)"
+        ),
         # writes
         "events_upsert": q("SELECT slot, source_seq, seq, CASE WHEN source_seq % 10 = 0 THEN 'again-' || source_seq ELSE props END AS data, is_valid OR source_seq % 10 = 0 AS is_valid FROM cur"),
         "upsert_outcome": q("SELECT 'inserted' AS outcome, count(*) AS rows FROM ev UNION ALL SELECT 'updated', count(*) FROM ev WHERE source_seq % 10 = 0"),
@@ -194,6 +199,7 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
             _NOISY,
         ),
         "assign_seq": q(f"SELECT source_seq, seq + {P['first_seq'] - 1} AS seq FROM ev"),
+        "buffer_gauges": q("SELECT source_seq // 16 AS tick, count(*) AS received, least(count(*), 10) AS depth, greatest(count(*) - 10, 0) AS dropped FROM ev GROUP BY 1"),
         "shed_model": q("SELECT source_seq, row_number() OVER (PARTITION BY source_seq // 16 ORDER BY source_seq) <= 10 AS kept FROM ev"),
         # scalars
         "events_hash": q(f"SELECT slot, source_seq, {_hash('props')} AS event_hash FROM ev"),
@@ -212,6 +218,18 @@ UNION ALL SELECT slot, slot - 1, slot - 2, slot - 4, 1, '' || (slot - 1), (slot
         "handler_validate": q("SELECT source_seq, CASE WHEN kind = 'Transaction' AND CAST(props::JSON ->> '$.k' AS BIGINT) % 2 = 1 THEN 'even' END AS rejected_by FROM ev"),
         # dead letters
         "dlq_rejects": q("SELECT source_seq, slot, parent_slot, kind, CASE WHEN event_id % 97 = 0 THEN 'malformed' END AS error_category, CASE WHEN event_id % 97 = 0 THEN CAST(0 AS INTEGER) END AS retry_count, CASE WHEN event_id % 97 = 0 THEN '{ bad' ELSE props END AS payload FROM ev"),
+        "letters_store": q(
+            f"SELECT source_seq AS sequence, slot, CASE WHEN slot IN {slots(P['dlq_slots'][3:])} THEN 'Resolved' ELSE 'Pending' END AS status, slot NOT IN {slots(P['dlq_slots'][3:])} AS can_retry, "
+            f"CASE WHEN slot IN {slots(P['dlq_slots'][3:])} THEN {P['now_s']}000000 END AS resolved_at_us FROM ev WHERE event_id % 97 = 0 AND slot NOT IN {slots(P['dlq_slots'][:3])}"
+        ),
+        "api_responses": q(
+            "SELECT request, CAST(code AS INTEGER) AS code, CAST(value AS BIGINT) AS value, CASE WHEN code = 500 THEN 'internal error' END AS shown FROM ("
+            "SELECT 'commits' AS request, 2 AS code, 2 AS value UNION ALL SELECT unnest(['health/live', 'health/ready']), 200, NULL UNION ALL SELECT 'metrics', 503, NULL "
+            "UNION ALL SELECT 'v1/status', 200, count(*) FILTER (is_valid) FROM cur UNION ALL SELECT 'v1/chain/head', 200, max(slot) FILTER (is_valid) FROM cur "
+            f"UNION ALL SELECT 'v1/events/kind={P['kind']}/limit=1000', 200, least(1000, count(*)) FROM cur WHERE is_valid AND kind = '{P['kind']}' UNION ALL SELECT 'v1/events/kind=Nope', 400, NULL "
+            f"UNION ALL SELECT 'v1/events/slot/{P['slot']}', 200, count(*) FROM cur WHERE is_valid AND slot = {P['slot']} UNION ALL SELECT 'v1/events/slot/x', 400, NULL "
+            f"UNION ALL SELECT 'v1/slots/{P['lookup']}', 200, slot FROM sl WHERE slot = {P['lookup']} UNION ALL SELECT unnest(['v1/slots/999999999999', 'v1/nowhere']), 404, NULL UNION ALL SELECT 'v1/events/limit=1', 500, NULL)"
+        ),
         "dlq_state": q(
             "SELECT source_seq AS sequence, slot, true AS kind_known, CAST(retry_count AS INTEGER) AS retry_count, CASE WHEN is_resolved THEN 'Resolved' WHEN retry_count >= 3 THEN 'Exhausted' ELSE 'Pending' END AS status, NOT is_resolved AND retry_count < 3 AS can_retry, CASE WHEN is_resolved THEN us + 3600000000 END AS resolved_at_us FROM dl",
             _TRIED,

@@ -37,12 +37,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     Where a session on one machine names no folder, as in tests, a temporary one is set; on a cluster that is an error.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, named as checkpoint folder from then on."""
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
 def own_folder(spark: SparkSession) -> str:
     """A temporary folder of this machine, where all executors are threads of this process."""
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
