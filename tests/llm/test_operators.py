@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
-import heapq
 import math
 import random
 import re
@@ -215,16 +214,45 @@ def test_bytes_are_near_equal_where_groups_allow(spark):
     assert len(loads) == 8 and max(loads) - min(loads) < 0.01 * sum(loads) / 8 + 400
 
 
-def test_lpt_takes_the_least_loaded_shard():
-    items = [(i, (i * 37) % 100 + 1) for i in range(50)]
-    placed, loads = sharding.lpt(items, 4)
-    again = [0] * 4
-    for k, size in sorted(items, key=lambda x: (-x[1], x[0])):
-        s = min(range(4), key=lambda j: (again[j], j))
-        assert placed[k] == s
-        again[s] += size
-    assert again == loads
-    assert heapq.nsmallest(1, loads)[0] > 0
+def lpt(sizes, shards):
+    """Loads of the schedule that takes each size by itself."""
+    loads = [0] * shards
+    for size in sorted(sizes, reverse=True):
+        loads[min(range(shards), key=lambda j: (loads[j], j))] += size
+    return loads
+
+
+def test_schedule_takes_the_least_loaded_shard_for_each_group():
+    r = random.Random(4)
+    for _ in range(200):
+        shards = r.randint(1, 7)
+        classes = {r.randint(1, 90): r.choice((1, 2, 5, r.randint(1, 200))) for _ in range(r.randint(1, 12))}
+        plan = sharding.Schedule(shards)
+        for size in sorted(classes, reverse=True):
+            dealt = plan.take(size, classes[size])
+            assert sum(dealt.values()) == classes[size] and list(dealt) == sorted(dealt) and all(dealt.values())
+        assert [load for load, _ in sorted(plan.heap, key=lambda x: x[1])] == lpt([s for s, n in classes.items() for _ in range(n)], shards)
+
+
+@pytest.mark.parametrize("piece, hot", [(50_000, 4096), (40, 4096), (40, 3)])
+def test_all_groups_are_scheduled_one_by_one(spark, monkeypatch, piece, hot):
+    """Loads equal brute force with many texts of one size, a group of a third of the rows, nulls and repeated ids; partitions, buckets and joins don't matter."""
+    monkeypatch.setattr(sharding, "ROWS_PER_PIECE", piece)
+    monkeypatch.setattr(sharding, "HOT", hot)
+    r = random.Random(5)
+    texts = [f"{k:05d}" for k in range(400)] + ["of one text"] * 500 + [prose(r, r.randint(1, 60)) for _ in range(500)] + [None, "", ""]
+    rows = [(k // 2, t) for k, t in enumerate(texts)]
+    sizes = collections.Counter()
+    for _, t in rows:
+        sizes[t or ""] += len((t or "").encode()) + 8
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.shard_documents(df.repartition(13), 8).collect()
+    loads = collections.Counter()
+    for x in out:
+        loads[x["shard"]] += x["size"]
+    assert len(out) == len(rows) and [loads[s] for s in range(8)] == lpt(sizes.values(), 8)
+    assert all(sorted(x["slot"] for x in out if x["shard"] == s) == list(range(sum(x["shard"] == s for x in out))) for s in range(8))
+    assert collections.Counter(out) == collections.Counter(sharding.shard_documents(df.repartition(2), 8).collect())
 
 
 # ---- personal data
