@@ -82,6 +82,15 @@ def test_two_phase_scans_equal_global_windows(spark):
         assert r["x"] == (max(v[:i]) if i else None) and r["m"] == (min(v[i + 1 :]) if i < 49 else None)
 
 
+def test_scans_over_spans_of_sparse_buckets_equal_global_windows(spark, monkeypatch):
+    monkeypatch.setattr(prefix, "SPAN", 3)
+    o = sorted({(i * i * i * 5) % 2003 - 400 for i in range(60)})
+    v = [(i * 7) % 11 for i in range(len(o))]
+    df = spark.createDataFrame(list(zip(o, v, strict=True)), "o long, v long").repartition(5)
+    rows = prefix.numbered(prefix.running_max_before(prefix.smallest_after(prefix.running_sum_before(df, "o", "v", "s", 9), "o", "v", "m", 2), "o", "v", "x", 40), "o", "n", 1, 7).orderBy("o").collect()
+    assert [tuple(r) for r in rows] == [(o[i], v[i], sum(v[:i]), min(v[i + 1 :], default=None), max(v[:i], default=None), i + 1) for i in range(len(o))]
+
+
 def test_watermark_ignores_backfilled_numbers(spark):
     log = spark.createDataFrame([("live", 10, 5, 7), ("live", 12, 9, 11), ("backfill", 11, 6, 2**40)], "origin string, slot long, seq long, source_seq long")
     assert tuple(fold.batch_watermark(log).first()) == (12, 9, 11)
