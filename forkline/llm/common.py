@@ -74,6 +74,16 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def few_parts(spark: SparkSession, least: int = 32) -> int:
+    """Partitions that keep every core busy several times over: `least`, or four a core where that is more."""
+    return max(least, 4 * spark.sparkContext.defaultParallelism)
+
+
+def few(df: DataFrame, least: int = 32) -> DataFrame:
+    """All rows of df in at most few_parts() partitions, without a shuffle, so that many small ones aren't a file each."""
+    return df.coalesce(few_parts(df.sparkSession, least))
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Names for columns of an operator's own that no column of df has."""
     taken = {c.lower() for c in df.columns}

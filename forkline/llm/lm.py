@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .boosting import sigmoid
-from .common import SLICE_ROWS, Scratch, flat_map, remainder
+from .common import SLICE_ROWS, Scratch, few, few_parts, flat_map, remainder
 from .words import Words, hashed
 
 #: Rows whose crc32(id) leaves this remainder are held out of all training.
@@ -31,7 +32,7 @@ AVERAGED = 32
 DIM, NOISE, SHARED_NOISE, BATCH, RATE = 24, 10, 48, 512, 0.5
 #: The end of a text, a token beside the hashes of words.
 END = 1
-#: Tokens that a task counts at once, and examples that it holds.
+#: Counts of slices that a task holds, and examples.
 FLUSH, HELD_EXAMPLES = 2_000_000, 500_000
 
 COUNT = T.StructType([T.StructField("word", T.LongType()), T.StructField("prefix", T.LongType()), T.StructField("n", T.LongType())])
@@ -39,12 +40,12 @@ _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
 
 
-def prefixes_of(words: Words) -> np.ndarray:
-    """The first CLASS_BYTES bytes of each word as one number, lower-case, with zeros after its end."""
-    out = np.zeros(len(words.start), np.int64)
+def prefixes_of(words: Words, which: np.ndarray) -> np.ndarray:
+    """The first CLASS_BYTES bytes of some of the words as one number each, lower-case, with zeros after a word's end."""
+    out, start, end = np.zeros(len(which), np.int64), words.start[which], words.end[which]
     for k in range(CLASS_BYTES):
-        at = words.start + k
-        here = at < words.end
+        at = start + k
+        here = at < end
         out[here] |= _LOWER[words.data[at[here]]] << 8 * (CLASS_BYTES - 1 - k)
     return out
 
@@ -59,23 +60,26 @@ def head_of(prefix, k: int):
 
 
 def _count_words(df: DataFrame) -> DataFrame:
-    """(word, prefix, n) of all tokens, an end for each row; partial sums leave a task after FLUSH tokens."""
+    """(word, prefix, n) of all tokens, an end for each row; partial sums leave a task after FLUSH of them."""
     schema = to_arrow_schema(COUNT)
 
     def run(batches):
         held, n, ends = [], 0, 0
 
         def out():
-            word, prefix = (np.concatenate(x) for x in zip(*held, strict=True))
-            found, at, count = np.unique(word, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(prefix[at]), pa.array(count)], schema=schema)
+            word, prefix, count = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(word)
+            first = np.flatnonzero(np.diff(word[order], prepend=~word[order[:1]]))
+            return pa.RecordBatch.from_arrays([pa.array(word[order[first]]), pa.array(prefix[order[first]]), pa.array(np.add.reduceat(count[order], first))], schema=schema)
 
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.column(0).slice(lo, SLICE_ROWS)
                 words = hashed(part)
-                held.append((words.hash.view(np.int64), prefixes_of(words)))
-                n, ends = n + len(words.hash), ends + len(part)
+                word, at, count = np.unique(words.hash.view(np.int64), return_index=True, return_counts=True)
+                if len(word):
+                    held.append((word, prefixes_of(words, at), count))
+                n, ends = n + len(word), ends + len(part)
                 if n > FLUSH:
                     yield out()
                     held, n = [], 0
@@ -112,20 +116,40 @@ class Tokens:
                 out[hit] = ids[at[hit]]
         return out
 
+    @cached_property
+    def outputs(self) -> Places:
+        return Places(self.output)
+
+    @cached_property
+    def held(self) -> Places:
+        return Places(self.frequent)
+
     def ids(self, words: Words) -> np.ndarray:
         """Model ids of words, without ends."""
-        out, word = self.classes(prefixes_of(words)), words.hash.view(np.int64)
-        at = found(self.output, word)
-        out[at >= 0] = self.output_id[at[at >= 0]]
+        at = self.outputs.find(words.hash.view(np.int64))
+        out, others = self.output_id.take(at, mode="wrap") if len(self.output_id) else at, np.flatnonzero(at < 0)
+        out[others] = self.classes(prefixes_of(words, others))
         return out
 
 
-def found(known: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The place of each value in a sorted array, -1 where it isn't there."""
-    if not len(known):
-        return np.full(len(values), -1)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return np.where(known[at] == values, at, -1)
+class Places:
+    """Places of hashes in a sorted array, by the first bits of a hash and a short walk from there; it compares whole hashes."""
+
+    def __init__(self, known: np.ndarray):
+        self.shift = 64 - max(8, len(known).bit_length() + 1)
+        self.known = np.append(known, np.iinfo(np.int64).max)
+        self.size = len(known)
+        half = 1 << (63 - self.shift)
+        self.first = np.searchsorted(known >> self.shift, np.arange(-half, half)).astype(np.int32)
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """The place of each value, -1 where it isn't there."""
+        at = self.first.take((values >> self.shift) + len(self.first) // 2).astype(np.int64)
+        behind = np.flatnonzero(self.known.take(at) < values)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.known[at[behind]] < values[behind]]
+        return np.where((self.known.take(at) == values) & (at < self.size), at, -1)
 
 
 def with_ends(words: Words, ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,34 +233,58 @@ class LogBilinear:
         log_noise = np.log(NOISE * noise).astype(np.float32)
         cumulative = np.cumsum(noise)
         squares = self.squares() if squares is None else squares
-        weight, column = np.float32(NOISE / SHARED_NOISE), np.arange(DIM)
-
-        def gathered(shape: tuple, *parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-            """Sums of rows of values at their places."""
-            at = np.concatenate([p for p, _ in parts])
-            values = np.concatenate([v for _, v in parts])
-            if len(shape) == 1:
-                return np.bincount(at, values, shape[0])
-            return np.bincount((at[:, None] * DIM + column).ravel(), values.ravel(), shape[0] * DIM).reshape(shape)
-
-        def step(x: np.ndarray, s: np.ndarray, grad: np.ndarray, rate: float = RATE) -> None:
-            s += grad * grad
-            x -= rate * grad / np.sqrt(s)
-
-        for lo in range(0, len(order), BATCH):
-            a, b, w = examples[order[lo : lo + BATCH]].T.astype(np.int64)
-            ra, rb = self.r[a].astype(np.float32), self.r[b].astype(np.float32)
-            c = self.c.astype(np.float32)
-            h = ra @ c[0].T + rb @ c[1].T
-            other = np.minimum(np.searchsorted(cumulative, g.random(SHARED_NOISE)), len(noise) - 1)
-            q, qn, bias = self.q[w].astype(np.float32), self.q[other].astype(np.float32), self.bias.astype(np.float32) - log_noise
-            e = sigmoid(np.einsum("nd,nd->n", h, q) + bias[w]) - np.float32(1)
-            en = weight * sigmoid(h @ qn.T + bias[other])
-            dh = e[:, None] * q + en @ qn
-            step(self.q, squares[1], gathered(self.q.shape, (w, e[:, None] * h), (other, en.T @ h)) / np.sqrt(len(w)))
-            step(self.bias, squares[3], gathered(self.bias.shape, (w, e), (other, en.sum(axis=0))) / np.sqrt(len(w)), 0.5 * RATE)
-            step(self.r, squares[0], gathered(self.r.shape, (a, dh @ c[0]), (b, dh @ c[1])) / np.sqrt(len(w)))
-            step(self.c, squares[2], np.stack([dh.T @ ra, dh.T @ rb]) / np.sqrt(len(w)), 0.2 * RATE)
+        # Single precision throughout, in one vector: rows of r and of q, both context matrices side by side, bias.
+        vector = lambda y: np.concatenate([x.ravel() for x in (y[0], y[1], np.hstack(y[2]), y[3])]).astype(np.float32)
+        all_x, all_s = vector(self.parts()), vector(squares)
+        slope, spare, rate = np.zeros_like(all_x), np.empty_like(all_x), np.full_like(all_x, RATE)
+        n_r, n_rows, n_out = len(self.r), len(self.r) + len(self.q), len(self.bias)
+
+        def apart(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The rows, the context matrices and the bias in a vector."""
+            return v[: n_rows * DIM].reshape(n_rows, DIM), v[n_rows * DIM : -n_out].reshape(DIM, 2 * DIM), v[-n_out:]
+
+        (x, c, bias), (x_slope, c_slope, bias_slope), (_, c_rate, bias_rate) = apart(all_x), apart(slope), apart(rate)
+        c_rate *= np.float32(0.2)
+        bias_rate *= np.float32(0.5)
+        # Two numbers are added at once, as a complex one.
+        places, ones, most = np.arange(x.size // 2).reshape(n_rows, DIM // 2), np.ones(BATCH, np.float32), np.float32(40)
+        values, pairs = np.empty((3 * BATCH + SHARED_NOISE, DIM), np.float32), x_slope.reshape(-1).view(np.complex64)
+        examples = np.asarray(examples, np.int64).take(order, axis=0)
+        drawn = np.minimum(np.searchsorted(cumulative, g.random((-(-len(examples) // BATCH), SHARED_NOISE))), n_out - 1)
+        for other, lo in zip(drawn, range(0, len(examples), BATCH), strict=True):
+            batch = examples[lo : lo + BATCH]
+            n, scale = len(batch), np.float32(1 / np.sqrt(len(batch)))
+            # Rows of both context tokens of each example, then of the data words, then of the noise words.
+            both = np.concatenate((batch[:, 2], other))
+            at = np.concatenate((batch[:, :2].reshape(-1), both + n_r))
+            rows, level = x.take(at, axis=0), (bias - log_noise).take(both)
+            before, q, qn = rows[: 2 * n].reshape(n, 2 * DIM), rows[2 * n : 3 * n], rows[3 * n :]
+            h = before @ c.T
+            # Slopes of the loss by the data words' scores and by the noise words', over the root of the batch's size.
+            e = (sigmoid(np.einsum("nd,nd->n", h, q) + level[:n]) - np.float32(1)) * scale
+            en = h @ -qn.T
+            en -= level[n:]
+            np.exp(np.minimum(en, most, out=en), out=en)
+            en += np.float32(1)
+            np.divide(np.float32(NOISE / SHARED_NOISE) * scale, en, out=en)
+            dh = en @ qn
+            dh += e[:, None] * q
+            own = values[: len(at)]
+            np.matmul(dh, c, out=own[: 2 * n].reshape(n, 2 * DIM))
+            np.multiply(e[:, None], h, out=own[2 * n : 3 * n])
+            np.matmul(en.T, h, out=own[3 * n :])
+            pairs.fill(0)
+            np.add.at(pairs, places.take(at, axis=0).reshape(-1), own.reshape(-1).view(np.complex64))
+            np.matmul(dh.T, before, out=c_slope)
+            bias_slope[:] = np.bincount(both, np.concatenate((e, ones[:n] @ en)), n_out)
+            all_s += np.multiply(slope, slope, out=spare)
+            np.divide(slope, np.sqrt(all_s, out=spare), out=spare)
+            spare *= rate
+            all_x -= spare
+        for v, parts in ((all_x, self.parts()), (all_s, squares)):
+            rows, sides, last = apart(v)
+            for into, part in zip(parts, (rows[:n_r], rows[n_r:], np.stack(np.hsplit(sides, 2)), last), strict=True):
+                into[:] = part
 
     def normalisers(self) -> np.ndarray:
         """log of the sum over all words, for every context (a, b), in batches of matrix products."""
@@ -291,7 +339,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     scratch = Scratch(spark, "lm")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     training = source.where(remainder("doc_id", HELD_OUT_MOD) != 0)
-    counts = scratch.save(_count_words(training.select("text")).groupBy("word").agg(F.min("prefix").alias("prefix"), F.sum("n").alias("n")).where("n > 0"), "counts")
+    counts = scratch.save(few(_count_words(training.select("text")).groupBy("word").agg(F.min("prefix").alias("prefix"), F.sum("n").alias("n")).where("n > 0")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent, frequent_count = _frequent(counts)
     output = np.array(list(dict.fromkeys([END, *frequent[:OUTPUTS].tolist()])), np.int64)
@@ -314,7 +362,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id_counts, class_mass, class_words = np.zeros(n_ids), np.zeros(n_ids), np.zeros(n_ids)
     for k, n, v in left.select("prefix", "n").mapInArrow(_by_class(shared), "id long, n long, words long").groupBy("id").agg(F.sum("n"), F.sum("words")).collect():
         id_counts[k], class_mass[k], class_words[k] = n, n, v
-    places = found(tokens.frequent, output)
+    places = tokens.held.find(output)
     id_counts[: len(output)][places >= 0] = tokens.frequent_count[places[places >= 0]]
 
     def examples():
@@ -336,12 +384,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for turn in range(ROUNDS):
             state = spark.sparkContext.broadcast((model.flat(), np.concatenate([x.ravel() for x in squares]).astype(np.float32)))
             dealt = rows.repartition(shards, "doc_id").sortWithinPartitions("doc_id", "ids").select("ids")
-            trained = scratch.save(dealt.mapInArrow(_shard(state, noise, n_ids, turn), TRAINED), f"models{turn}")
-            step, left_over = 0, trained.count()
+            # A task averages the shards it trains one after another; few tables and files are written, as each file costs a process on a local disk.
+            trained, left_over, step = few(dealt.mapInArrow(_shard(state, noise, n_ids, turn), TRAINED), AVERAGED).mapInArrow(_averaged, TRAINED), min(shards, few_parts(spark, AVERAGED)), 0
             while left_over > AVERAGED:
-                left_over = -(-left_over // AVERAGED)
-                trained = scratch.save(trained.repartition(left_over).mapInArrow(_averaged, TRAINED), f"models{turn}-{step}")
-                step += 1
+                trained = scratch.save(trained, f"models{turn}-{step}")
+                left_over, step = -(-left_over // AVERAGED), step + 1
+                trained = trained.repartition(left_over).mapInArrow(_averaged, TRAINED)
             _, both = average((r[0], np.frombuffer(r[1], np.float32)) for r in trained.collect())
             if both is not None:
                 model = LogBilinear.from_flat(both[: len(both) // 2], n_ids)
@@ -357,7 +405,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.sum(F.col("n") * (smooth - F.col("norm"))).alias("model2"),
     )
     add = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
-    out = score.where("word is null").join(per_row, "row", "left")
+    out = few(score.where("word is null").join(per_row, "row", "left"))
     return out.select(
         F.col("doc_id").alias(id_col),
         (remainder("doc_id", HELD_OUT_MOD) == 0).alias("held_out"),
@@ -445,7 +493,7 @@ def _score(source: DataFrame, spark: SparkSession, shared, model: LogBilinear, c
         base_norm = np.log10(total + ALPHA * (distinct + 1))
         class_norm = np.log10(mass + ALPHA * (words + 1))
         log_count = np.log10(np.append(known.frequent_count, 0) + ALPHA)  # the last is for words that aren't held
-        at_end = int(found(known.frequent, np.array([END]))[0])
+        at_end = int(known.held.find(np.array([END]))[0])
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(lo, SLICE_ROWS)
@@ -454,7 +502,7 @@ def _score(source: DataFrame, spark: SparkSession, shared, model: LogBilinear, c
                 tokens, start = with_ends(text, ids, known.end_id)
                 a, b = contexts(tokens, start[:-1], known.n_ids)
                 log_p = np.add.reduceat((first[a, tokens] + second[b, tokens] - norm[a, b]).astype(np.float64), start[:-1]) / np.log(10)
-                of, at = np.repeat(np.arange(rows), np.diff(text.row)), found(known.frequent, text.hash.view(np.int64))
+                of, at = np.repeat(np.arange(rows), np.diff(text.row)), known.held.find(text.hash.view(np.int64))
                 held = at >= 0
                 in_class = held & (ids >= len(known.output))
                 base = np.bincount(of[held], log_count[at[held]] - base_norm, rows) + log_count[at_end] - base_norm

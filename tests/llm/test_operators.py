@@ -155,6 +155,36 @@ def test_normalisers_sum_to_one_and_training_beats_the_unigram():
     assert np.log(p[a, b, w]).mean() > np.log(noise[w]).mean() + 0.5
 
 
+def test_places_of_hashes_equal_a_binary_search():
+    g = np.random.default_rng(2)
+    known = np.unique(np.concatenate([g.integers(-(2**63), 2**63, 3000), np.arange(40), [2**63 - 1, -(2**63)]]))
+    values = np.concatenate([known, known + 1, g.integers(-(2**63), 2**63, 500), [1, -1]])
+    for part in (known, known[:1], known[:-1], known[:0]):
+        where = {int(x): k for k, x in enumerate(part)}
+        assert lm.Places(part).find(values).tolist() == [where.get(int(x), -1) for x in values]
+
+
+def test_many_shards_leave_few_files_and_are_all_trained(docs, monkeypatch):
+    parts, trained, save, average = [], [], lm.Scratch.save, lm.average
+
+    def spy(self, df, name):
+        out = save(self, df, name)
+        parts.append(len(out.inputFiles()))
+        return out
+
+    def weighed(models):
+        n, v = average(models)
+        trained.append(n)
+        return n, v
+
+    monkeypatch.setattr(lm.Scratch, "save", spy)
+    monkeypatch.setattr(lm, "average", weighed)
+    monkeypatch.setattr(lm, "SHARDS", 150)
+    first = lm.score_texts(docs).first()
+    assert trained == [first["train_tokens"]] * lm.ROUNDS  # on the driver: the tokens of all shards
+    assert max(parts) <= max(lm.AVERAGED, 4 * docs.sparkSession.sparkContext.defaultParallelism)
+
+
 # ---- WARC
 
 
