@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, add_columns, flat_map, unused
+from .common import SLICE_ROWS, Scratch, add_columns, few, flat_map, unused
 
 #: Words of a passage, and words from one passage to the next.
 PASSAGE, STRIDE = 48, 24
 #: Latent dimensions, extra random directions, and power iterations of the decomposition.
 RANK, EXTRA, ITERATIONS = 128, 16, 2
-#: Documents, those of the smallest hashes of their ids, all of whose passages the decomposition sees besides the benchmark's; all documents' passages are searched.
-FIT_DOCUMENTS = 400
+#: Pairs of terms whose sums a task holds at once; where there are more, each part of them is a pass over the ids.
+HELD_PAIRS = 8_000_000
 #: Items searched for in one pass over the documents, about.
 BLOCK = 1000
 #: Least cosine of a candidate; least share of an item's words in the common subsequence; share of its rarest words that must occur.
@@ -70,18 +70,36 @@ class Index:
     answers: list[frozenset[int]]
 
 
+def _leading(apply: Callable[[np.ndarray], np.ndarray], n_terms: int, rank: int, extra: int, iterations: int, seed: int) -> np.ndarray:
+    """Orthonormal basis (terms x rank) of the leading directions of a symmetric matrix that apply() multiplies by."""
+    width = min(rank + extra, n_terms)
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0].astype(np.float32)
+    for _ in range(iterations):
+        total = apply(basis)
+        basis = np.linalg.qr(total)[0].astype(np.float32)
+    # Rotate to singular directions: the last pass's Gram matrix in the basis is small.
+    small = basis.T @ total if iterations else np.eye(width)
+    u = np.linalg.svd(small)[0]
+    return np.ascontiguousarray((basis @ u)[:, :rank])
+
+
+PART = T.StructType([T.StructField("part", T.BinaryType())])
+
+
+def _summed(parts: DataFrame, like: np.ndarray) -> np.ndarray:
+    """The sum of every partition's array."""
+    return sum((np.frombuffer(r[0], np.float32).reshape(like.shape) for r in parts.toLocalIterator()), np.zeros_like(like))
+
+
 def randomized_svd(rows: DataFrame, n_terms: int, rank: int = RANK, extra: int = EXTRA, iterations: int = ITERATIONS, seed: int = 11) -> np.ndarray:
     """Orthonormal basis (terms x rank) of the leading right singular vectors of a distributed sparse matrix.
 
     rows has arrays `at` and `value`, a passage each. Each iteration sends the basis out, and every partition sends back one
-    sum of outer products, of terms x (rank + extra) numbers; partitions are few, as the fit sample is bounded.
+    sum of outer products, of terms x (rank + extra) numbers.
     """
-    width = min(rank + extra, n_terms)
-    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0].astype(np.float32)
-    schema = T.StructType([T.StructField("part", T.BinaryType())])
-    for _ in range(iterations):
 
-        def gram(batches, basis=basis):
+    def apply(basis: np.ndarray) -> np.ndarray:
+        def gram(batches):
             total = np.zeros_like(basis)
             for batch in batches:
                 for at, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -90,12 +108,35 @@ def randomized_svd(rows: DataFrame, n_terms: int, rank: int = RANK, extra: int =
                         total[at] += v[:, None] * (v @ basis[at])
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-        total = sum((np.frombuffer(r[0], np.float32).reshape(basis.shape) for r in rows.select("at", "value").mapInArrow(gram, schema).toLocalIterator()), np.zeros_like(basis))
-        basis = np.linalg.qr(total)[0].astype(np.float32)
-    # Rotate to singular directions: the last pass's Gram matrix in the basis is small.
-    small = basis.T @ total if iterations else np.eye(width)
-    u = np.linalg.svd(small)[0]
-    return np.ascontiguousarray((basis @ u)[:, :rank])
+        return _summed(rows.select("at", "value").mapInArrow(gram, PART), basis)
+
+    return _leading(apply, n_terms, rank, extra, iterations, seed)
+
+
+def gram_svd(pairs: DataFrame, own: list[tuple[list[int], list[float]]], weight: float, n_terms: int, rank: int = RANK, extra: int = EXTRA, iterations: int = ITERATIONS, seed: int = 11) -> np.ndarray:
+    """The basis of randomized_svd() from the sums of pair_sums(), with the own rows (at, value) weighed besides."""
+
+    def apply(basis: np.ndarray) -> np.ndarray:
+        def multiply(batches):
+            total = np.zeros_like(basis)
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 64):
+                    at = batch.column(0).slice(lo, 64).to_numpy()
+                    upper = np.zeros((len(at), n_terms), np.float32)
+                    for k, raw in enumerate(batch.column(1).slice(lo, 64)):
+                        upper[k, at[k] :] = np.frombuffer(raw.as_buffer(), np.float32)
+                    total[at] += upper @ basis
+                    upper[np.arange(len(at)), at] = 0
+                    total += upper.T @ basis[at]
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+
+        total = _summed(pairs.select("term", "sums").mapInArrow(multiply, PART), basis)
+        for at, value in own:
+            v = np.array(value, np.float32)
+            total[at] += np.float32(weight) * v[:, None] * (v @ basis[at])
+        return total
+
+    return _leading(apply, n_terms, rank, extra, iterations, seed)
 
 
 SPARSE = T.StructType([T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("value", T.ArrayType(T.FloatType()))])
@@ -108,66 +149,162 @@ def _tf_idf(ids: np.ndarray, idf: np.ndarray) -> tuple[list[int], list[float]]:
     return at.tolist(), (v / norm if norm else v).tolist()
 
 
-def fit(docs: DataFrame, items: list[tuple[int, str]], id_col: str, text_col: str) -> Index | None:
-    """Index a block of items. Document frequencies of its terms count all documents."""
+IDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType())])
+SUMS = T.StructType([T.StructField("term", T.IntegerType()), T.StructField("sums", T.BinaryType())])
+#: Kinds of counts besides those of terms.
+PASSAGES, ROWS = -1, -2
+
+
+def _number(n_terms: int) -> np.dtype:
+    """What a stored term id takes."""
+    return np.dtype(np.int16 if n_terms < 1 << 15 else np.int32)
+
+
+def _arrays(column: pa.Array, kind: np.dtype) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
+
+
+def _to_ids(terms: dict[bytes, int]):
+    def make():
+        kind = _number(len(terms))
+        return lambda batch: {"doc_id": batch.column(0), "ids": [term_ids(t, terms).astype(kind).tobytes() for t in batch.column(1).to_pylist()]}
+
+    return make
+
+
+def _frequencies(n_terms: int):
+    """Texts that have each term, their passages and their number."""
+
+    def run(batches):
+        n, passages, rows = np.zeros(n_terms, np.int64), 0, 0
+        for batch in batches:
+            for ids in _arrays(batch.column(0), _number(n_terms)):
+                n[np.unique(ids[ids >= 0])] += 1
+                passages += max(1, -(-len(ids) // STRIDE) - 1)
+                rows += 1
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, (PASSAGES, ROWS)), pa.int32()), pa.array(np.append(n[at], (passages, rows)), pa.int64())], names=["term", "n"])
+
+    return run
+
+
+def passage_rows(texts: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passage, term and tf-idf value of every term of every passage of the texts, by passage and term; a passage's values have the length 1."""
+    blocks = [-(-len(t) // STRIDE) for t in texts]
+    first = np.cumsum([0, *(max(1, b - 1) for b in blocks)])
+    passage, term = [], []
+    for t, b, lo in zip(texts, blocks, first, strict=False):
+        at = np.flatnonzero(t >= 0)
+        block, ids = at // STRIDE, t[at].astype(np.int64)
+        # A block of STRIDE words is the first half of a passage and the second half of the one before.
+        for shift in (0, 1):
+            own = (block >= shift) & (block - shift < max(1, b - 1))
+            passage.append(lo + block[own] - shift)
+            term.append(ids[own])
+    key, n = np.unique(np.concatenate(passage) * len(idf) + np.concatenate(term), return_counts=True)
+    passage, term = key // len(idf), key % len(idf)
+    value = n * idf[term].astype(np.float64)
+    return passage, term, value / np.sqrt(np.bincount(passage, value * value))[passage]
+
+
+def _pair_sums(idf: np.ndarray, lo: int, hi: int):
+    """Sums over all passages of the products of two terms' values, the smaller one of terms lo to hi."""
+
+    def run(batches):
+        n = len(idf)
+        size = n - np.arange(lo, hi)
+        start = np.concatenate(([0], np.cumsum(size)))
+        base, sums = start[:-1] - np.arange(lo, hi), np.zeros(start[-1])
+        for batch in batches:
+            for k in range(0, batch.num_rows, SLICE_ROWS):
+                texts = _arrays(batch.column(0).slice(k, SLICE_ROWS), _number(n))
+                passage, term, value = passage_rows(texts, idf)
+                if not len(term):
+                    continue
+                last = np.searchsorted(passage, passage, "right")
+                at = np.flatnonzero((term >= lo) & (term < hi))
+                left = last[at] - at
+                own, mine = base[term[at] - lo], value[at]
+                d = 0
+                while len(at):  # each term with the one d places on in its passage
+                    np.add.at(sums, own + term.take(at + d), mine * value.take(at + d))
+                    d += 1
+                    stay = left > d
+                    at, left, own, mine = at[stay], left[stay], own[stay], mine[stay]
+        if sums.any():
+            for k in range(0, hi - lo, 256):
+                some = range(k, min(k + 256, hi - lo))
+                rows = [sums[start[i] : start[i + 1]].astype(np.float32).tobytes() for i in some]
+                yield pa.RecordBatch.from_arrays([pa.array([lo + i for i in some], pa.int32()), pa.array(rows, pa.binary())], names=["term", "sums"])
+
+    return run
+
+
+def _added(batches):
+    """One row for each term from rows that are sorted by term."""
+    term, total = None, None
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([term], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["term", "sums"])
+
+    for batch in batches:
+        for t, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            v = np.frombuffer(raw.as_buffer(), np.float32)
+            if t == term:
+                total += v
+                continue
+            if term is not None:
+                yield out()
+            term, total = t, v.astype(np.float64)
+    if term is not None:
+        yield out()
+
+
+def pair_sums(ids: DataFrame, idf: np.ndarray, scratch: Scratch) -> DataFrame:
+    """(term, sums): the upper triangle of the products of terms' values, summed over every passage of every text.
+
+    A task sends one sum for each pair of terms, so tasks are as few as the cores.
+    """
+    spark, n, lo, parts = ids.sparkSession, len(idf), 0, None
+    while lo < n:
+        hi, held = lo, 0
+        while hi < n and (hi == lo or held + n - hi <= HELD_PAIRS):
+            held, hi = held + n - hi, hi + 1
+        made = ids.select("ids").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(_pair_sums(idf, lo, hi), SUMS)
+        part = scratch.save(made.repartition(8, "term").sortWithinPartitions("term").mapInArrow(_added, SUMS).coalesce(8), f"pairs{lo}")
+        parts, lo = part if parts is None else parts.unionByName(part), hi
+    return parts.coalesce(8)
+
+
+def fit(docs: DataFrame, items: list[tuple[int, str]], id_col: str, text_col: str) -> tuple[Index, DataFrame] | None:
+    """Index a block of items, and the ids of their terms in every document. Document frequencies and the latent space come from all documents."""
     spark = docs.sparkSession
     words = [(i, words_in(t)) for i, t in items]
     words = [(i, w) for i, w in words if w]
     if not words:
         return None
     terms = {w: k for k, w in enumerate(sorted({x for _, ws in words for x in ws}))}
-
-    def frequencies():
-        def f(batch: pa.RecordBatch) -> dict:
-            n = np.zeros(len(terms), np.int64)
-            for text in batch.column(0).to_pylist():
-                ids = term_ids(text, terms)
-                n[np.unique(ids[ids >= 0])] += 1
-            at = np.flatnonzero(n)
-            return {"term": at, "n": n[at]}
-
-        return f
-
-    schema = T.StructType([T.StructField("term", T.IntegerType()), T.StructField("n", T.LongType())])
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    scratch = Scratch(spark, "latent")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    in_terms = scratch.save(few(flat_map(texts, IDS, _to_ids(terms))), "ids")
     # At most one row per benchmark term comes back.
+    counts = in_terms.select("ids").mapInArrow(_frequencies(len(terms)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    n = {r[0]: r[1] for r in counts.collect()}
+    total, passages = n.pop(ROWS, 0), n.pop(PASSAGES, 0)
     df = np.zeros(len(terms))
-    for r in flat_map(texts, schema, frequencies).groupBy("term").agg(F.sum("n").alias("n")).collect():
-        df[r[0]] = r[1]
-    total = docs.count()
+    df[list(n)] = list(n.values())
     idf = np.log((total + 1) / (df + 1)).astype(np.float32) + 0.1
     ids = [[terms[x] for x in ws] for _, ws in words]
-
-    def passages():
-        def f(batch: pa.RecordBatch) -> dict:
-            at, value = [], []
-            for text in batch.column(0).to_pylist():
-                t = term_ids(text, terms)
-                for lo in range(0, max(1, len(t) - STRIDE), STRIDE):
-                    a, v = _tf_idf(t[lo : lo + PASSAGE], idf)
-                    at.append(a)
-                    value.append(v)
-            return {"at": at, "value": value}
-
-        return f
-
-    sample = docs.select(F.xxhash64(F.col(id_col)).alias("__h"), F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).where(F.col("text") != "")
-    chosen = [r[0] for r in sample.select("__id", "__h").where("__id is not null").orderBy("__h", "__id").limit(FIT_DOCUMENTS).collect()]
-    fit_rows = flat_map(sample.where(F.col("__id").isin(chosen)).select("text"), SPARSE, passages) if chosen else spark.createDataFrame([], SPARSE)
-    own = spark.createDataFrame([_tf_idf(np.array(i), idf) for i in ids], SPARSE)
-    # Benchmark passages weigh as much as the sample's, so that their rare terms are not lost in it.
-    scratch = Scratch(spark, "latent")
-    fit_rows = scratch.save(fit_rows, "sample")
-    weight = float(np.sqrt(max(1, fit_rows.count() / len(ids))))
-    own = own.withColumn("value", F.transform("value", lambda x: (x * weight).cast("float")))
-    basis = randomized_svd(scratch.save(own.unionByName(fit_rows).coalesce(8), "passages"), len(terms))
-    scratch.drop("sample")
-    scratch.drop("passages")
+    # Benchmark passages weigh as much as the documents', so that their rare terms are not lost in them.
+    own = [_tf_idf(np.array(i), idf) for i in ids]
+    pairs = pair_sums(in_terms, idf, scratch)
+    basis = gram_svd(pairs, own, max(1.0, passages / len(ids)), len(terms))
+    scratch.drop(*{x.rsplit("/", 2)[-2] for x in pairs.inputFiles()})
     vectors = np.ascontiguousarray(basis * idf[:, None], np.float32)
     latent = np.stack([vectors[i].sum(axis=0) for i in ids])
     norms = np.linalg.norm(latent, axis=1)
     answers = [frozenset(sorted(set(i), key=lambda k: (-idf[k], k))[:ANSWER_WORDS]) for i in ids]
-    return Index(terms, idf, vectors, [i for i, _ in words], ids, latent / np.maximum(norms, 1e-9)[:, None], norms, answers)
+    return Index(terms, idf, vectors, [i for i, _ in words], ids, latent / np.maximum(norms, 1e-9)[:, None], norms, answers), in_terms
 
 
 MATCH = T.StructType(
@@ -232,7 +369,7 @@ def _search(index: Index):
     def make():
         def f(batch: pa.RecordBatch) -> dict | None:
             out: dict[str, list] = {x: [] for x in MATCH.names}
-            leaks = leaks_of(index, [term_ids(t, index.terms) for t in batch.column(1).to_pylist()])
+            leaks = leaks_of(index, _arrays(batch.column(1), _number(len(index.terms))))
             for doc, own in zip(batch.column(0).to_pylist(), leaks, strict=True):
                 for k, (common, answer, cosine, window) in own.items():
                     for name, value in zip(MATCH.names, (doc, index.item_ids[k], cosine, common, answer, window * STRIDE), strict=True):
@@ -244,15 +381,15 @@ def _search(index: Index):
     return make
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> Iterator[Index]:
-    """An index of each block of about BLOCK items, dealt by a hash; the driver holds one block at a time."""
+def _blocks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> Iterator[tuple[Index, DataFrame]]:
+    """An index of each block of about BLOCK items, dealt by a hash, with the ids of its terms in the documents; the driver holds one block at a time."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).distinct()
     blocks = -(-items.count() // BLOCK)
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
-        index = fit(docs, sorted(map(tuple, rows), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")), id_col, text_col)
-        if index is not None:
-            yield index
+        made = fit(docs, sorted(map(tuple, rows), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")), id_col, text_col)
+        if made is not None:
+            yield made
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -263,7 +400,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     scratch, found = Scratch(docs.sparkSession, "marked"), T.StructField("leaked_items", T.ArrayType(T.LongType()))
     both = unused(docs, "both", found.name)[0]
     out = None
-    for k, index in enumerate(_blocks(docs, benchmark, id_col, text_col, item_col, item_text)):
+    for k, (index, _) in enumerate(_blocks(docs, benchmark, id_col, text_col, item_col, item_text)):
 
         def make(index=index):
             def f(values: list) -> list[list]:
@@ -290,10 +427,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     an item without an id is searched for as null; rows that repeat an id are searched each, and each pair is returned once, by its best passage.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], MATCH)
-    for k, index in enumerate(_blocks(docs, benchmark, id_col, text_col, item_col, item_text)):
-        found = found.unionByName(scratch.save(flat_map(source, MATCH, _search(index)), f"block{k}"))
+    for k, (index, in_terms) in enumerate(_blocks(docs, benchmark, id_col, text_col, item_col, item_text)):
+        found = found.unionByName(scratch.save(few(flat_map(in_terms, MATCH, _search(index))), f"block{k}"))
     best = F.max(F.struct("common", "cosine", "answer", "word")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.common", "best.answer", "best.word")
 

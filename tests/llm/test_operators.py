@@ -628,6 +628,34 @@ def test_svd_finds_the_leading_directions(spark):
     assert np.allclose(np.linalg.svd(basis.T @ true)[1], 1, atol=1e-2)
 
 
+@pytest.mark.parametrize("held", [8_000_000, 300])
+def test_the_latent_space_is_fitted_on_every_passage_of_every_document(spark, monkeypatch, held):
+    """More documents than any sample that was taken; sums over two terms equal a product of dense matrices."""
+    r = random.Random(8)
+    vocabulary = words(r, 60)
+    texts = [" ".join(r.choice(vocabulary) for _ in range(r.choice([0, 1, 23, 24, 25, 48, 49, 72, 73, 130]))) for _ in range(900)]
+    items = [(k, " ".join(vocabulary[2 * k : 2 * k + 12])) for k in range(20)]
+    seen, pair_sums = [], decontaminate.pair_sums
+
+    def spy(ids_, idf, scratch):
+        out = pair_sums(ids_, idf, scratch)
+        seen.append((idf, {x["term"]: np.frombuffer(x["sums"], np.float32) for x in out.collect()}))
+        return out
+
+    monkeypatch.setattr(decontaminate, "pair_sums", spy)
+    monkeypatch.setattr(decontaminate, "HELD_PAIRS", held)
+    index, _ = decontaminate.fit(spark.createDataFrame([*enumerate(texts), (None, None)], "doc_id long, text string").repartition(5), items, "doc_id", "text")
+    (idf, sums), = seen
+    dense = np.zeros((len(idf), len(idf)))
+    for t in texts:
+        t_ids = decontaminate.term_ids(t, index.terms)
+        for lo in range(0, max(1, len(t_ids) - decontaminate.STRIDE), decontaminate.STRIDE):
+            at, value = decontaminate._tf_idf(t_ids[lo : lo + decontaminate.PASSAGE], idf)
+            dense[np.ix_(at, at)] += np.outer(value, value)
+    assert len(sums) == len(idf)
+    assert all(np.allclose(v, dense[k, k:], rtol=1e-4, atol=1e-4) for k, v in sums.items())
+
+
 def test_scratch_tables_go_when_cleared(spark):
     from forkline.llm.common import Scratch
 
