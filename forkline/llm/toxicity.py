@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .boosting import sigmoid
-from .common import Scratch, add_columns, flat_map, remainder
-
-#: Labelled rows that the classifier is fitted on at most, of each label.
-SAMPLE = 3000
+from .common import SLICE_ROWS, Scratch, add_columns, few, flat_map, remainder
+
+#: Labelled rows that are fitted together, about; the classifiers of such shards are averaged, so that every row counts.
+SHARD_ROWS = 6000
+#: Labels that are sent out at once to find their texts, about.
+LABELS = 2_000_000
+#: Vote vectors that the label model takes at once, and keys that a task counts before it sends them on.
+CHUNK, HELD_KEYS = 50_000, 300_000
 #: Remainder and modulus of crc32(doc_id) that mark the rows never learned from.
 HELD_OUT_MOD = 5
 #: Lexicon of the first voter: plain insults (fixed values).
@@ -56,7 +62,7 @@ def counted(text: str | None, vocabulary: Vocabulary) -> tuple[Counter, int]:
     return out, len(words)
 
 
-def values_of(counts: Counter, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+def values_of(counts: dict[int, int], n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Indices and values: a damped count times a damped rate, so that a chance hit in a long text says little."""
     i = np.fromiter(counts.keys(), np.int64, len(counts))
     c = np.fromiter(counts.values(), np.float64, len(counts))
@@ -80,26 +86,32 @@ class LabelModel:
     weight: np.ndarray | None = None
     correlation: np.ndarray | None = None
 
-    def fit(self, votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> LabelModel:
-        """votes: rows x voters; gold: labels 0 or 1, or -1 where unknown. A known label is a voter that is nearly always right."""
+    def fit(self, votes: np.ndarray, gold: np.ndarray, rounds: int = 25, times: np.ndarray | None = None) -> LabelModel:
+        """votes: rows x voters; gold: labels 0 or 1, or -1 where unknown; times: how often each row occurs. A known label is a voter that is nearly always right."""
         n, m = votes.shape
-        known = gold >= 0
+        known, times = gold >= 0, np.ones(n) if times is None else times
         posterior = np.where(known, np.where(gold == 1, 0.95, 0.05), 0.5)
         self.weight = np.ones(m)
-        one_hot = np.stack([votes == -1, votes == 0, votes == 1], axis=2).astype(float)
         gold_odds = np.where(known, np.where(gold == 1, 3.0, -3.0), 0.0)
+        chunks = [slice(lo, lo + CHUNK) for lo in range(0, n, CHUNK)]
         for r in range(rounds):
-            p1 = (np.einsum("n,nmk->mk", posterior, one_hot) + 1) / (posterior.sum() + 3)
-            p0 = (np.einsum("n,nmk->mk", 1 - posterior, one_hot) + 1) / ((1 - posterior).sum() + 3)
+            both = np.stack([posterior * times, (1 - posterior) * times])
+            table = np.stack([sum((both[:, at] @ (votes[at] == v) for at in chunks), np.zeros((2, m))) for v in (-1, 0, 1)], axis=2)
+            p1, p0 = (table + 1) / (both.sum(axis=1)[:, None, None] + 3)
             self.log_odds = np.log(p1 / p0)
-            self.prior = float(np.clip(posterior.mean(), 0.01, 0.99))
+            self.prior = float(np.clip(both[0].sum() / times.sum(), 0.01, 0.99))
             if r % 5 == 0:
-                centred = [(votes - (w @ votes) / w.sum()) * np.sqrt(w)[:, None] for w in (posterior, 1 - posterior)]
-                cov = sum(c.T @ c for c in centred) / n
+                cov = np.zeros((m, m))
+                for w in both:
+                    mean = sum(w[at] @ votes[at] for at in chunks) / w.sum()
+                    for at in chunks:
+                        centred = (votes[at] - mean) * np.sqrt(w[at])[:, None]
+                        cov += centred.T @ centred
+                cov /= times.sum()
                 sd = np.sqrt(np.diag(cov)) + 1e-9
                 self.correlation = cov / np.outer(sd, sd)
                 self.weight = 1 / np.maximum(1, (self.correlation**2).sum(axis=0))
-            posterior = sigmoid(self.evidence(votes) + gold_odds)
+            posterior = np.concatenate([sigmoid(self.evidence(votes[at]) + gold_odds[at]) for at in chunks])
         return self
 
     def evidence(self, votes: np.ndarray) -> np.ndarray:
@@ -120,6 +132,9 @@ class Voter:
 
     def vote(self, counts: Counter, text: str) -> int:
         hits = sum(counts[i] for i in self.features if i in counts) if self.features is not None else sum(1 for _ in re.finditer(self.pattern, text))
+        return self.judge(hits)
+
+    def judge(self, hits: int) -> int:
         return 1 if hits >= self.least else -1 if self.clean_without and not hits else 0
 
 
@@ -161,31 +176,52 @@ class Model:
 KEYED = T.StructType([T.StructField("key", T.StringType()), *(T.StructField(f"n{y}", T.LongType()) for y in (0, 1))])
 VOTED = T.StructType(
     [
+        T.StructField("id", T.LongType()),
         T.StructField("label", T.IntegerType()),
         T.StructField("n_words", T.LongType()),
         T.StructField("at", T.ArrayType(T.IntegerType())),
         T.StructField("n", T.ArrayType(T.IntegerType())),
-        T.StructField("votes", T.ArrayType(T.IntegerType())),
+        T.StructField("votes", T.BinaryType()),
     ]
 )
 #: Marks a feature that a text has at least REPEATED times.
 OFTEN, REPEATED = "\0", 3
 
 
-def _keys():
-    def f(batch) -> dict:
-        both: list[Counter] = [Counter(), Counter()]
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            c: Counter = Counter()
-            for w, n in Counter((text or "").split()).items():
-                for k in keys_of(w):
-                    c[k] += n
-            both[label].update(c.keys())
-            both[label].update(k + OFTEN for k, n in c.items() if n >= REPEATED)
-        keys = list(both[0] | both[1])
-        return {"key": keys, "n0": [both[0][k] for k in keys], "n1": [both[1][k] for k in keys]}
+class Keys(dict):
+    """Features of a raw word; emptied when it holds 200,000 words."""
 
-    return f
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = found = keys_of(word)
+        return found
+
+
+def _keys(batches):
+    """(key, n0, n1): texts of each label that have a key, or have it often; partial sums."""
+    both, of, schema = (Counter(), Counter()), Keys(), to_arrow_schema(KEYED)
+
+    def out():
+        keys = list(both[0] | both[1])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in both)], schema=schema)
+
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(lo, SLICE_ROWS)
+            for label, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                c: dict[str, int] = defaultdict(int)
+                for w, n in Counter((text or "").split()).items():
+                    for k in of[w]:
+                        c[k] += n
+                both[label].update(c.keys())
+                both[label].update([k + OFTEN for k, n in c.items() if n >= REPEATED])
+            if len(both[0]) + len(both[1]) > HELD_KEYS:
+                yield out()
+                for c in both:
+                    c.clear()
+    if both[0] or both[1]:
+        yield out()
 
 
 def rank_features(sample: DataFrame, n0: int, n1: int) -> list[str]:
@@ -193,7 +229,7 @@ def rank_features(sample: DataFrame, n0: int, n1: int) -> list[str]:
 
     A feature counts by the texts that have it, or that have it often, whichever tells more.
     """
-    counts = flat_map(sample, KEYED, _keys).groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n1 >= 4")
+    counts = sample.select("label", "text").mapInArrow(_keys, KEYED).groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n1 >= 4")
     p1, p0 = (F.col("n1") + 0.5) / (n1 + 1), (F.col("n0") + 0.5) / (n0 + 1)
     spread = lambda p, n: p * (1 - F.least(p, F.lit(0.999))) / n
     z = (p1 - p0) / F.sqrt(spread(p1, n1) + spread(p0, n0))
@@ -205,12 +241,21 @@ def rank_features(sample: DataFrame, n0: int, n1: int) -> list[str]:
 def _votes(index: dict[str, int], ranked: list[str]):
     def make():
         vocabulary, voters = Vocabulary(index), voters_of(index, ranked)
+        of: dict[int, list[int]] = defaultdict(list)
+        for k, v in enumerate(voters):
+            for i in v.features or ():
+                of[i].append(k)
 
         def f(batch) -> dict:
             out: dict[str, list] = {x: [] for x in VOTED.names}
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts, n = counted(text, vocabulary)
-                row = (label, n, list(counts.keys()), list(counts.values()), [v.vote(counts, text or "") for v in voters])
+                hits = [0] * len(voters)
+                for i, c in counts.items():
+                    for k in of.get(i, ()):
+                        hits[k] += c
+                votes = [v.judge(h) if v.pattern is None else v.vote(counts, text or "") for v, h in zip(voters, hits, strict=True)]
+                row = (key, label, n, list(counts.keys()), list(counts.values()), np.array(votes, np.int8).tobytes())
                 for name, value in zip(VOTED.names, row, strict=True):
                     out[name].append(value)
             return out
@@ -220,33 +265,69 @@ def _votes(index: dict[str, int], ranked: list[str]):
     return make
 
 
-def fit(sample: DataFrame) -> Model:
-    """Fit on a bounded sample (label, text): rank features, let the voters vote, fit the label model, and fit the classifier to its posteriors.
+def _vectors(column: pa.Array, m: int) -> np.ndarray:
+    """Votes, rows x voters."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, m)
+
+
+def _fit_shards(label_model: LabelModel, width: int):
+    """(n, model): the classifier of each shard, its weights and then its intercept, from rows (shard, n_words, at, n, votes) sorted by shard."""
+
+    def run(batches):
+        held, shard = [], None
+
+        def fitted():
+            x = np.zeros((len(held), width), np.float32)
+            for k, (n_words, at, n, _) in enumerate(held):
+                i, v = values_of(dict(zip(at, n, strict=True)), n_words)
+                x[k, i] = v
+            votes = np.frombuffer(b"".join(r[-1] for r in held), np.int8).reshape(len(held), -1)
+            w, b = train_linear(x, sigmoid(label_model.evidence(votes)).astype(np.float32))  # what the voters say; a row's own label isn't added
+            return pa.RecordBatch.from_arrays([pa.array([len(held)], pa.int64()), pa.array([np.append(w.astype(np.float64), b).tobytes()], pa.binary())], names=["n", "model"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                for own, *row in zip(*(c.to_pylist() for c in batch.slice(lo, SLICE_ROWS).columns), strict=True):
+                    if own != shard and held:
+                        yield fitted()
+                        held.clear()
+                    shard = own
+                    held.append(row)
+        if held:
+            yield fitted()
+
+    return run
+
+
+def fit(rows: DataFrame, scratch: Scratch) -> Model:
+    """Fit on labelled rows (id, label, text), all of them: rank features, let the voters vote, fit the label model, and fit the classifier to its posteriors.
 
-    Labels rank the features and start the label model; the classifier's targets are the posteriors of the votes alone.
+    Labels rank the features and start the label model; the classifier's targets are the posteriors of the votes alone. The label model
+    takes each distinct vector of votes with its number of rows; classifiers are fitted by shards of about SHARD_ROWS rows, dealt
+    by a hash of the id, and averaged by their rows.
     """
-    n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    n = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     if not n.get(0) or not n.get(1):  # nothing to tell apart: the seed lexicon alone
         index = {k: i for i, k in enumerate(sorted(INSULTS))}
         return Model(index, np.full(len(index), 3.0), -2.0)
-    ranked = rank_features(sample, n[0], n[1])
+    ranked = rank_features(rows, n[0], n[1])
     index = {k: i for i, k in enumerate(dict.fromkeys([*ranked, *sorted(INSULTS)]))}
-    rows = sorted(flat_map(sample, VOTED, _votes(index, ranked)).collect())
-    y = np.array([r["label"] for r in rows], float)
-    votes = np.array([r["votes"] for r in rows], np.int64)
-    label_model = LabelModel().fit(votes, y.astype(int))
-    target = sigmoid(label_model.evidence(votes))  # what the voters say; a row's own label isn't added
-    x = np.zeros((len(rows), len(index)), np.float32)
-    for k, r in enumerate(rows):
-        i, v = values_of(Counter(dict(zip(r["at"], r["n"], strict=True))), r["n_words"])
-        x[k, i] = v
-    w, b = train_linear(x, target.astype(np.float32))
-    return Model(index, w.astype(np.float64), b, label_model)
+    voted = scratch.save(flat_map(rows.select("id", "label", "text"), VOTED, _votes(index, ranked)), "voted")
+    vectors = voted.groupBy("votes", "label").count().toArrow().sort_by([("label", "ascending"), ("votes", "ascending")]).combine_chunks()
+    label_model = LabelModel().fit(_vectors(vectors["votes"], len(voters_of(index, ranked))), vectors["label"].to_numpy(), times=vectors["count"].to_numpy().astype(float))
+    shards = -(-(n[0] + n[1]) // SHARD_ROWS)
+    dealt = voted.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "n_words", "at", "n", "votes").repartition(shards, "shard").sortWithinPartitions("shard", "id")
+    total, both = 0, np.zeros(len(index) + 1)
+    for size, model in dealt.drop("id").mapInArrow(_fit_shards(label_model, len(index)), "n long, model binary").collect():
+        total, both = total + size, both + size * np.frombuffer(model, np.float64)
+    both /= total
+    return Model(index, both[:-1], float(both[-1]), label_model)
 
 
 def train_linear(x: np.ndarray, target: np.ndarray, steps: int = 400, l2: float = 2e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels, by Adagrad over all rows."""
-    w, b = np.zeros(x.shape[1], np.float32), float(np.log(target.mean() / (1 - target.mean())))
+    mean = float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
+    w, b = np.zeros(x.shape[1], np.float32), float(np.log(mean / (1 - mean)))
     squares, square_b = np.full(x.shape[1], 1e-6, np.float32), 1e-6
     for _ in range(steps):
         e = sigmoid(x @ w + np.float32(b)) - target
@@ -258,21 +339,24 @@ def train_linear(x: np.ndarray, target: np.ndarray, steps: int = 400, l2: float
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` labelled rows of each label, chosen by a hash of the id among rows that aren't held out.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit on all labelled rows that aren't held out.
 
-    Ids of the sample (bounded by 2 * sample) are broadcast; its texts stay with the executors. Null labels and ids aren't used; an
+    About LABELS ids and labels at a time are broadcast, so the texts of other rows are not moved. Null labels and ids aren't used; an
     id that is labelled twice has its larger label, and one text of its rows.
     """
-    spark = docs.sparkSession
+    scratch = Scratch(docs.sparkSession, "toxicity")
     usable = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & (remainder(id_col, HELD_OUT_MOD) != 0))
-    each = usable.groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("label"))
-    ids = [(int(r[0]), int(r[1])) for y in (1, 0) for r in each.where(F.col("label") == y).orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()]
-    scratch = Scratch(spark, "toxicity")
-    chosen = spark.createDataFrame(ids, "__id long, label int")
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id").groupBy("__id", "label").agg(F.min("text").alias("text"))
-    model = fit(scratch.save(rows.select("label", "text"), "sample"))
-    scratch.drop("sample")
+    each = scratch.save(few(usable.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("label"))), "labels")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    blocks, rows = max(1, -(-each.count() // LABELS)), None
+    for k in range(blocks):
+        some = each.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k)
+        found = texts.join(F.broadcast(some), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+        part = scratch.save(few(found), f"rows{k}")
+        rows = part if rows is None else rows.unionByName(part)
+    model = fit(rows, scratch)
+    scratch.drop("")
     return model
 
 

@@ -382,6 +382,43 @@ def test_toxicity_learns_from_labels_and_takes_awkward_rows(spark, docs, empty):
     assert toxicity.score_documents(empty.drop("score"), toxicity.train(empty, lab.limit(0))).count() == 0
 
 
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """More rows of a label than any sample that was taken, in several shards and blocks of labels; held-out rows have no part."""
+    r = random.Random(12)
+    plain = words(r, 40)
+    rows = [(i, " ".join(r.choice(plain) for _ in range(12)) + (" grumblefoo scum" if i % 4 == 0 else "")) for i in range(9000)]
+    labels = [(i, int(i % 4 == 0)) for i, _ in rows]
+    seen, linear, ranked = [], toxicity.LabelModel.fit, []
+
+    def spy(self, votes, gold, rounds=25, times=None):
+        seen.append({y: int(times[gold == y].sum()) for y in (0, 1)})
+        return linear(self, votes, gold, rounds, times)
+
+    def rank(sample, n0, n1, rank=toxicity.rank_features):
+        ranked.append((n0, n1))
+        return rank(sample, n0, n1)
+
+    monkeypatch.setattr(toxicity.LabelModel, "fit", spy)
+    monkeypatch.setattr(toxicity, "rank_features", rank)
+    monkeypatch.setattr(toxicity, "LABELS", 2500)
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    used = [y for i, y in labels if zlib.crc32(str(i).encode()) % 5]
+    assert seen == [{0: used.count(0), 1: used.count(1)}] and ranked == [(used.count(0), used.count(1))]
+    assert used.count(0) > 5000 and len(used) > toxicity.SHARD_ROWS
+    score = model.scorer()
+    assert score("grumblefoo scum " + rows[1][1]) > 0.5 > score(rows[1][1])
+
+
+def test_label_model_takes_repeated_rows_once_with_their_number(monkeypatch):
+    g = np.random.default_rng(4)
+    votes, gold = g.integers(-1, 2, (300, 4)), g.integers(-1, 2, 300)
+    times = g.integers(1, 4, 300)
+    one = toxicity.LabelModel().fit(np.repeat(votes, times, axis=0), np.repeat(gold, times))
+    monkeypatch.setattr(toxicity, "CHUNK", 70)
+    other = toxicity.LabelModel().fit(votes, gold, times=times.astype(float))
+    assert np.allclose(one.evidence(votes), other.evidence(votes)) and np.allclose(one.correlation, other.correlation)
+
+
 def test_label_model_finds_accuracies_and_damps_copies():
     g = np.random.default_rng(1)
     y = (g.random(3000) < 0.4).astype(int)
