@@ -270,19 +270,19 @@ def _vectors(column: pa.Array, m: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, m)
 
 
-def _fit_shards(label_model: LabelModel, width: int):
-    """(n, model): the classifier of each shard, its weights and then its intercept, from rows (shard, n_words, at, n, votes) sorted by shard."""
+def _fit_shards(label_model: LabelModel, width: int, weight: tuple[float, float]):
+    """(n, model): the classifier of each shard, its weights and then its intercept, from rows (shard, label, n_words, at, n, votes) sorted by shard."""
 
     def run(batches):
         held, shard = [], None
 
         def fitted():
             x = np.zeros((len(held), width), np.float32)
-            for k, (n_words, at, n, _) in enumerate(held):
+            for k, (_, n_words, at, n, _) in enumerate(held):
                 i, v = values_of(dict(zip(at, n, strict=True)), n_words)
                 x[k, i] = v
             votes = np.frombuffer(b"".join(r[-1] for r in held), np.int8).reshape(len(held), -1)
-            w, b = train_linear(x, sigmoid(label_model.evidence(votes)).astype(np.float32))  # what the voters say; a row's own label isn't added
+            w, b = train_linear(x, sigmoid(label_model.evidence(votes)).astype(np.float32), weight=np.take(weight, [r[0] for r in held]))  # what the voters say; a row's own label isn't added
             return pa.RecordBatch.from_arrays([pa.array([len(held)], pa.int64()), pa.array([np.append(w.astype(np.float64), b).tobytes()], pa.binary())], names=["n", "model"])
 
         for batch in batches:
@@ -313,24 +313,27 @@ def fit(rows: DataFrame, scratch: Scratch) -> Model:
     ranked = rank_features(rows, n[0], n[1])
     index = {k: i for i, k in enumerate(dict.fromkeys([*ranked, *sorted(INSULTS)]))}
     voted = scratch.save(flat_map(rows.select("id", "label", "text"), VOTED, _votes(index, ranked)), "voted")
+    # Rows of the rarer label weigh more, so that both labels weigh the same.
+    weight = tuple(max(n.values()) / n[y] for y in (0, 1))
     vectors = voted.groupBy("votes", "label").count().toArrow().sort_by([("label", "ascending"), ("votes", "ascending")]).combine_chunks()
-    label_model = LabelModel().fit(_vectors(vectors["votes"], len(voters_of(index, ranked))), vectors["label"].to_numpy(), times=vectors["count"].to_numpy().astype(float))
+    label_model = LabelModel().fit(_vectors(vectors["votes"], len(voters_of(index, ranked))), vectors["label"].to_numpy(), times=vectors["count"].to_numpy() * np.take(weight, vectors["label"].to_numpy()))
     shards = -(-(n[0] + n[1]) // SHARD_ROWS)
-    dealt = voted.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "n_words", "at", "n", "votes").repartition(shards, "shard").sortWithinPartitions("shard", "id")
+    dealt = voted.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "label", "n_words", "at", "n", "votes").repartition(shards, "shard").sortWithinPartitions("shard", "id")
     total, both = 0, np.zeros(len(index) + 1)
-    for size, model in dealt.drop("id").mapInArrow(_fit_shards(label_model, len(index)), "n long, model binary").collect():
+    for size, model in dealt.drop("id").mapInArrow(_fit_shards(label_model, len(index), weight), "n long, model binary").collect():
         total, both = total + size, both + size * np.frombuffer(model, np.float64)
     both /= total
     return Model(index, both[:-1], float(both[-1]), label_model)
 
 
-def train_linear(x: np.ndarray, target: np.ndarray, steps: int = 400, l2: float = 2e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by Adagrad over all rows."""
-    mean = float(np.clip(target.mean(), 1e-6, 1 - 1e-6))
+def train_linear(x: np.ndarray, target: np.ndarray, steps: int = 400, l2: float = 2e-4, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, by Adagrad over all rows; weight: what each counts for."""
+    share = np.ones(len(x), np.float32) if weight is None else (weight / weight.mean()).astype(np.float32)
+    mean = float(np.clip((target * share).mean(), 1e-6, 1 - 1e-6))
     w, b = np.zeros(x.shape[1], np.float32), float(np.log(mean / (1 - mean)))
     squares, square_b = np.full(x.shape[1], 1e-6, np.float32), 1e-6
     for _ in range(steps):
-        e = sigmoid(x @ w + np.float32(b)) - target
+        e = (sigmoid(x @ w + np.float32(b)) - target) * share
         g, gb = (e @ x) / len(e) + l2 * w, float(e.mean())
         squares += g * g
         square_b += gb * gb
